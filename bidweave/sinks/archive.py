@@ -39,7 +39,8 @@ def aged_files(
     """
     cutoff = (now or datetime.now(timezone.utc)) - timedelta(days=days)
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root)
-    old = files.where(F.col("modificationTime") < F.lit(cutoff))
+    micros = F.lit(int(cutoff.timestamp() * 1_000_000))
+    old = files.where(F.col("modificationTime") < F.timestamp_micros(micros))
     return old.select("path", F.col("modificationTime").alias("modified"), "length")
 
 
