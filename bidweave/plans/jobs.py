@@ -129,8 +129,9 @@ def run_rollups(
         raise ValueError(f"mode must be one of {MODES}, got {mode!r}")
     chosen = parse_mods(mods)
     if mode == "overwrite" and strays == "fail":
-        if not stray_rows(spark, source, window, chosen, late_hours, schema).isEmpty():
-            raise StrayRows(f"rows stored more than {late_hours} h from their hour in {window}")
+        found = stray_rows(spark, source, window, chosen, late_hours, schema).count()
+        if found:
+            raise StrayRows(f"{found} rows stored too far from their hour or bucket in {window}")
     raw = window_log(spark, source, window, chosen, mode, late_hours, schema)
     with scratch_path(spark, "base") as path:
         base = stage_base(spark, raw, finest(wanted), path, numeric_max)

@@ -13,14 +13,9 @@ from pyspark.sql import SparkSession
 _local_dirs: dict[str, str] = {}
 
 
-def local_session(
-    cores: int | str = 8,
-    partitions: int = 8,
-    memory: str = "8g",
-    shared: str | None = None,
-) -> SparkSession:
+def local_session(cores: int | str = 8, partitions: int = 8, memory: str = "8g") -> SparkSession:
     """Session for tests and local runs; a cluster brings its own settings."""
-    builder = (
+    spark = (
         SparkSession.builder.master(f"local[{cores}]")
         .appName("bidweave")
         .config("spark.ui.enabled", "false")
@@ -29,10 +24,8 @@ def local_session(
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.shuffle.partitions", str(partitions))
         .config("spark.sql.adaptive.enabled", "true")
+        .getOrCreate()
     )
-    if shared:
-        builder = builder.config("spark.checkpoint.dir", shared)
-    spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     return spark
 

@@ -7,20 +7,13 @@ job, and only those whose copy has the full length.
 
 from __future__ import annotations
 
-import posixpath
-import shutil
-import uuid
-from collections.abc import Iterator
 from datetime import datetime, timedelta, timezone
-from urllib.parse import urlsplit
 
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from bidweave.session import new_shared_path, scratch_path
-
-CHUNK = 8 << 20
+from bidweave.sinks.files import copy_batches, delete_batches
 
 
 def qualified(spark: SparkSession, path: str) -> str:
@@ -44,75 +37,6 @@ def aged_files(
     return old.select("path", F.col("modificationTime").alias("modified"), "length")
 
 
-def _open(uri: str):
-    """File system of a URI and the path in it."""
-    from pyarrow import fs
-
-    parts = urlsplit(uri)
-    if parts.scheme in ("", "file"):
-        return fs.LocalFileSystem(), parts.path
-    scheme = {"s3a": "s3", "s3n": "s3"}.get(parts.scheme, parts.scheme)
-    system, base = fs.FileSystem.from_uri(f"{scheme}://{parts.netloc}/")
-    return system, base.rstrip("/") + parts.path
-
-
-def _size(system, path: str) -> int | None:
-    info = system.get_file_info(path)
-    return info.size if info.is_file else None
-
-
-def copy_file(source: str, target: str, length: int) -> None:
-    """Copies one file; the target appears only once it is complete."""
-    source_fs, source_path = _open(source)
-    target_fs, target_path = _open(target)
-    if _size(target_fs, target_path) == length and _size(source_fs, source_path) is None:
-        return
-    folder, name = posixpath.split(target_path)
-    target_fs.create_dir(folder, recursive=True)
-    partial = f"{folder}/.{name}.{uuid.uuid4().hex}"
-    with (
-        source_fs.open_input_stream(source_path) as read,
-        target_fs.open_output_stream(partial) as write,
-    ):
-        shutil.copyfileobj(read, write, CHUNK)
-    if _size(target_fs, partial) != length:
-        target_fs.delete_file(partial)
-        raise OSError(f"copy of {source} is incomplete")
-    target_fs.move(partial, target_path)
-
-
-def delete_copied(source: str, target: str, length: int) -> None:
-    """Deletes a source file whose copy is complete."""
-    source_fs, source_path = _open(source)
-    target_fs, target_path = _open(target)
-    if _size(target_fs, target_path) != length:
-        raise OSError(f"no complete copy of {source}")
-    if _size(source_fs, source_path) is not None:
-        source_fs.delete_file(source_path)
-
-
-def _each(action, batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Runs ``action`` on every file; a failure is noted and the rest go on."""
-    for batch in batches:
-        errors = []
-        for row in batch.itertuples(index=False):
-            try:
-                if row.error is None:
-                    action(row.path, row.target, row.length)
-                errors.append(row.error)
-            except Exception as problem:
-                errors.append(f"{type(problem).__name__}: {problem}")
-        yield batch.assign(error=errors)
-
-
-def _copy_all(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    return _each(copy_file, batches)
-
-
-def _delete_all(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    return _each(delete_copied, batches)
-
-
 REPORT = "path string, target string, length bigint, error string"
 
 
@@ -138,7 +62,7 @@ def archive_aged_partitions(
         F.lit(None).cast("string").alias("error"),
     )
     with scratch_path(spark, "archive-copies") as copies:
-        files.mapInPandas(_copy_all, REPORT).write.parquet(copies)
+        files.mapInPandas(copy_batches, REPORT).write.parquet(copies)
         copied = spark.read.schema(REPORT).parquet(copies)
-        copied.mapInPandas(_delete_all, REPORT).write.parquet(report_path)
+        copied.mapInPandas(delete_batches, REPORT).write.parquet(report_path)
     return spark.read.schema(REPORT).parquet(report_path)

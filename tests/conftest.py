@@ -4,7 +4,7 @@ from bidweave.session import local_session
 
 
 @pytest.fixture(scope="session")
-def spark(tmp_path_factory):
-    session = local_session(8, partitions=4, shared=str(tmp_path_factory.mktemp("shared")))
+def spark():
+    session = local_session(8, partitions=4)
     yield session
     session.stop()

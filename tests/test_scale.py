@@ -14,6 +14,7 @@ from bidweave.plans.base import aggregate_records
 from bidweave.plans.jobs import stray_rows, window_log
 from bidweave.session import shared_dir
 from bidweave.sinks.archive import aged_files
+from bidweave.sinks.rollups import write_rollup
 from bidweave.sources.windows import Window
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -87,6 +88,18 @@ def test_a_hot_key_is_split_over_tasks(spark, kind):
         assert "skew=true" in final_plan(report)
 
 
+def test_a_hot_bucket_is_written_by_several_tasks(spark, tmp_path):
+    bucket = F.when(F.col("id") % 3 != 0, 7).otherwise(F.col("id") % 5)
+    frame = spark.range(0, 300_000, 1, 8).select(
+        F.lit("2024-01-01").alias("dt"), F.lit(5).alias("hh"), bucket.alias("cgid_mod"), "id"
+    )
+    with settings(spark, spark__sql__adaptive__advisoryPartitionSizeInBytes="200k"):
+        path = write_rollup(frame, str(tmp_path / "out"))
+    assert spark.read.parquet(path).count() == 300_000
+    hot = [f for f in spark.read.parquet(path).inputFiles() if "cgid_mod=7/" in f]
+    assert len(hot) > 2
+
+
 def test_stray_check_reads_only_what_it_needs(spark, tmp_path):
     keyed = log_of(spark, row()).withColumns(
         {"dt": F.lit("2024-01-01"), "hh": F.lit("05"), "cgid_mod": F.lit(5)}
@@ -108,4 +121,20 @@ def test_archive_listing_reads_no_content(spark, tmp_path):
 
 
 def test_shared_folder_comes_from_the_session(spark):
-    assert shared_dir(spark) == spark.conf.get("spark.checkpoint.dir").rstrip("/")
+    named = spark.conf.get("spark.checkpoint.dir", None)
+    if named:
+        assert shared_dir(spark) == named.rstrip("/")
+    assert shared_dir(spark) == shared_dir(spark)
+
+
+def test_a_cluster_must_name_its_shared_folder():
+    class Cluster:
+        class conf:
+            get = staticmethod(lambda name, default: default)
+
+        class sparkContext:
+            master = "yarn"
+            applicationId = "app"
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        shared_dir(Cluster)

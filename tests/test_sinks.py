@@ -1,13 +1,17 @@
 import os
+import subprocess
+import sys
 from datetime import datetime, timedelta, timezone
 
 import pytest
 from helpers import dicts, log_of, row
+from pyspark import cloudpickle
 from pyspark.sql import functions as F
 
 from bidweave.fixtures.queries import read_dataset, write_log
 from bidweave.plans.jobs import StrayRows, daily_job, intraday_job, run_rollups, stray_rows
 from bidweave.session import shared_dir
+from bidweave.sinks import files
 from bidweave.sinks.archive import aged_files, archive_aged_partitions
 from bidweave.sources.bid_log import scan_bid_log
 from bidweave.sources.windows import Window
@@ -127,9 +131,11 @@ def test_window_without_rows_writes_empty_datasets(spark, source, tmp_path):
 
 
 def test_staged_tables_are_removed(spark, source, tmp_path):
-    run_rollups(spark, source, str(tmp_path / "o"), DAY)
     folder = f"{shared_dir(spark)}/bidweave"
-    assert not [n for n in os.listdir(folder) if n.startswith("base-")]
+    os.makedirs(folder, exist_ok=True)
+    before = set(os.listdir(folder))
+    run_rollups(spark, source, str(tmp_path / "o"), DAY)
+    assert set(os.listdir(folder)) == before
 
 
 def test_one_run_for_both_grains(spark, source, tmp_path):
@@ -216,3 +222,16 @@ def test_archive_reports_a_failed_file_and_moves_the_rest(spark, source, tmp_pat
     failed = [r for r in report if r["error"] is not None]
     assert len(failed) == 1 and failed[0]["path"].endswith(names[0])
     assert files_below(source) == [names[0]]
+
+
+def test_task_functions_need_no_package_on_the_executors(tmp_path):
+    pickled = tmp_path / "functions"
+    pickled.write_bytes(cloudpickle.dumps([files.copy_batches, files.delete_batches]))
+    load = (
+        f"import importlib.util, pickle; pickle.load(open({str(pickled)!r}, 'rb'));"
+        "print(importlib.util.find_spec('bidweave'))"
+    )
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    run = [sys.executable, "-c", load]
+    done = subprocess.run(run, cwd=tmp_path, env=env, capture_output=True, text=True)
+    assert done.stdout.strip() == "None", done.stderr
