@@ -18,7 +18,11 @@ from bidweave.fixtures.log import events_log, lineitem_log
 from bidweave.functions.columns import bucket_of, event_day, event_hour, flag
 from bidweave.operators import rollups as R
 from bidweave.operators.normalize import normalize_bid_log, parse_pacing, publish, time_buckets
-from bidweave.operators.reports import campaign_group_report, campaign_report
+from bidweave.operators.reports import (
+    campaign_group_report,
+    campaign_report,
+    groups_with_null_key,
+)
 from bidweave.plans.base import stage_base
 from bidweave.plans.jobs import daily_job, intraday_job, rollup_datasets, run_rollups
 from bidweave.schema import (
@@ -68,7 +72,10 @@ def terms_of(log: DataFrame, grain: str) -> DataFrame:
 
 
 def group_report(log: DataFrame, grain: str) -> DataFrame:
-    return campaign_group_report(group_rollup(log, grain), group_reasons(log, grain), grain)
+    lone = groups_with_null_key(bid_source(log, []), grain)
+    return campaign_group_report(
+        group_rollup(log, grain), group_reasons(log, grain), lone, grain
+    )
 
 
 def single_report(log: DataFrame, grain: str) -> DataFrame:

@@ -11,7 +11,12 @@ from pyspark.sql import types as T
 
 from bidweave.functions.columns import bucket_of, event_time
 from bidweave.operators import rollups as R
-from bidweave.operators.reports import bucket_from_group, campaign_group_report, campaign_report
+from bidweave.operators.reports import (
+    bucket_from_group,
+    campaign_group_report,
+    campaign_report,
+    groups_with_null_key,
+)
 from bidweave.plans.base import Base, stage_base
 from bidweave.schema import BID_LOG_SCHEMA, GRAINS, Grain, grain_of
 from bidweave.session import scratch_path
@@ -32,6 +37,7 @@ def rollup_datasets(
     group_report = campaign_group_report(
         R.campaign_group_rollup(base.bids, g, numeric_max),
         R.campaign_group_failure_reasons(base.bids, g),
+        groups_with_null_key(base.bids, g),
         g,
         null_safe,
     )

@@ -8,7 +8,11 @@ from bidweave.fixtures import queries as Q
 from bidweave.fixtures.log import lineitem_log
 from bidweave.operators import rollups as R
 from bidweave.operators.normalize import normalize_bid_log, publish
-from bidweave.operators.reports import campaign_group_report, campaign_report
+from bidweave.operators.reports import (
+    campaign_group_report,
+    campaign_report,
+    groups_with_null_key,
+)
 from bidweave.plans.base import aggregate_records, split_records, stage_base
 from bidweave.plans.jobs import rollup_datasets
 from bidweave.session import new_shared_path
@@ -89,6 +93,7 @@ def group_report(spark, *rows, **options):
     return campaign_group_report(
         R.campaign_group_rollup(base, "hour"),
         R.campaign_group_failure_reasons(base, "hour"),
+        groups_with_null_key(base, "hour"),
         "hour",
         **options,
     )
@@ -110,6 +115,24 @@ def test_null_flight_leaves_two_half_empty_rows(spark):
     assert halves[1]["campaign_group_id"] == 105
 
 
+def test_lone_rows_keep_their_own_advertiser(spark):
+    found = dicts(
+        group_report(
+            spark,
+            row(flight_id=None, advertiser_id=1),
+            row(flight_id=None, advertiser_id=None),
+            row(flight_id=None, campaign_group_id=None),
+            row(at=None),
+        )
+    )
+    rollups = [f for f in found if f["total_bid_requests"] is not None]
+    assert len(rollups) == 4 and all(f["fail_count_cg_id"] is None for f in rollups)
+    assert all(f["total_bid_requests"] == 1 for f in rollups)
+    halves = [f for f in found if f["total_bid_requests"] is None]
+    assert sorted(f["fail_count_cg_id"] for f in halves) == [1, 1, 2]
+    assert all(f["advertiser_id"] is None for f in halves)
+
+
 def test_null_safe_report_matches_null_keys(spark):
     found = dicts(group_report(spark, row(flight_id=None), row(), null_safe=True))
     assert len(found) == 2
@@ -126,7 +149,8 @@ def test_group_report_equals_a_full_outer_join(spark):
     reasons = R.campaign_group_failure_reasons(base, "minute")
     keys = ["dt", "hh", "min", "campaign_group_id", "flight_id"]
     outer = rollup.join(reasons, keys, "outer")
-    report = campaign_group_report(rollup, reasons, "minute").select(*outer.columns)
+    lone = groups_with_null_key(base, "minute")
+    report = campaign_group_report(rollup, reasons, lone, "minute").select(*outer.columns)
     assert report.count() == outer.count() > 0
     assert report.exceptAll(outer).isEmpty() and outer.exceptAll(report).isEmpty()
 

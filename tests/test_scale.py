@@ -6,10 +6,15 @@ import pytest
 from helpers import log_of, row
 from pyspark.sql import functions as F
 
+from bidweave.fixtures import queries as Q
 from bidweave.fixtures.log import lineitem_log
 from bidweave.operators import rollups as R
 from bidweave.operators.normalize import normalize_bid_log
-from bidweave.operators.reports import campaign_group_report, campaign_report
+from bidweave.operators.reports import (
+    campaign_group_report,
+    campaign_report,
+    groups_with_null_key,
+)
 from bidweave.plans.base import aggregate_records
 from bidweave.plans.jobs import stray_rows, window_log
 from bidweave.session import shared_dir
@@ -80,7 +85,8 @@ def test_a_hot_key_is_split_over_tasks(spark, kind):
         if kind == "group":
             rollup = R.campaign_group_rollup(rows, "hour")
             reasons = R.campaign_group_failure_reasons(rows, "hour")
-            report = campaign_group_report(rollup, reasons, "hour")
+            lone = groups_with_null_key(rows, "hour")
+            report = campaign_group_report(rollup, reasons, lone, "hour")
         else:
             rollup = R.campaign_rollup(rows, "hour")
             reasons = R.campaign_failure_reasons(rows, "hour")
@@ -100,6 +106,17 @@ def test_a_hot_bucket_is_written_by_several_tasks(spark, tmp_path):
     assert len(hot) > 2
 
 
+def test_a_report_reads_the_payload_once(spark, tmp_path):
+    path = str(tmp_path / "log")
+    log_of(spark, row()).write.parquet(path)
+    log = spark.read.parquet(path)
+    for report in (Q.group_report, Q.single_report):
+        plan = plan_of(report(log, "hour"))
+        assert plan.count("from_json") == 1
+        scans = [part.split("]")[0] for part in plan.split("FileScan parquet [")[1:]]
+        assert sum("pacing_debug_data" in scan for scan in scans) == 1
+
+
 def test_stray_check_reads_only_what_it_needs(spark, tmp_path):
     keyed = log_of(spark, row()).withColumns(
         {"dt": F.lit("2024-01-01"), "hh": F.lit("05"), "cgid_mod": F.lit(5)}
