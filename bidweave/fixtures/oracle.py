@@ -28,7 +28,9 @@ LINEITEM_INPUTS = f"""
 
 
 def _counter(name: str) -> str:
-    text = "spend" if name in SPEND_COUNTERS else f"CAST(event_id % {COUNTER_MODULUS[name]} AS VARCHAR)"
+    text = "spend"
+    if name not in SPEND_COUNTERS:
+        text = f"CAST(event_id % {COUNTER_MODULUS[name]} AS VARCHAR)"
     return f"CASE WHEN event_id % 13 <> 0 THEN {text} END AS {name}"
 
 

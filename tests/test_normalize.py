@@ -27,7 +27,9 @@ def test_wrong_shape_only_voids_its_own_field(spark):
     assert found["picked_term_id"] == "x"
 
 
-@pytest.mark.parametrize("text, shown", [("12.50", "12.5"), ("1e3", "1000.0"), ('"12.50"', "12.50")])
+@pytest.mark.parametrize(
+    "text, shown", [("12.50", "12.5"), ("1e3", "1000.0"), ('"12.50"', "12.50")]
+)
 def test_numbers_become_text(spark, text, shown):
     assert parsed(spark, '{"daily_campaign_spend": %s}' % text)["daily_campaign_spend"] == shown
 

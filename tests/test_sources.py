@@ -2,6 +2,8 @@ from datetime import date, datetime, timedelta
 
 import pytest
 from helpers import dicts, log_of, row
+from hypothesis import given
+from hypothesis import strategies as st
 
 from bidweave.fixtures.queries import write_log
 from bidweave.sources.bid_log import missing_partitions, scan_bid_log
@@ -27,6 +29,25 @@ def test_trailing_window(at, expected):
     assert hours(Window.trailing(datetime.fromisoformat(at))) == expected
 
 
+@given(st.datetimes(datetime(2000, 1, 1), datetime(2100, 1, 1)), st.integers(1, 50))
+def test_trailing_windows_hold_the_hours_before(at, length):
+    window = Window.trailing(at, length)
+    found = [
+        datetime(d.year, d.month, d.day, h) for d, hs in window.hours_by_day().items() for h in hs
+    ]
+    full = at.replace(minute=0, second=0, microsecond=0)
+    assert found == [full - timedelta(hours=n) for n in range(length, 0, -1)]
+    assert window.end == full
+
+
+@given(st.dates(date(2000, 1, 1), date(2100, 1, 1)), st.integers(0, 5))
+def test_widening_keeps_the_window_inside(day, more):
+    window = Window.day(day)
+    wide = window.widened(more)
+    assert (window.start - wide.start, wide.end - window.end) == (timedelta(hours=more),) * 2
+    assert set(window.hours_by_day()[day]) <= set(wide.hours_by_day()[day])
+
+
 def test_day_window_and_default_day():
     assert hours(Window.day("2024-02-29")) == {"2024-02-29": list(range(24))}
     for missing in (None, "None", ""):
@@ -66,7 +87,11 @@ def test_bucket_lists(mods, expected):
 def stored(spark, tmp_path_factory):
     log = log_of(
         spark,
-        *[row(f"2024-01-01 {h:02d}:30:00", campaign_group_id=g) for h in range(22) for g in (15, 7)],
+        *[
+            row(f"2024-01-01 {h:02d}:30:00", campaign_group_id=g)
+            for h in range(22)
+            for g in (15, 7)
+        ],
         row("2024-01-02 00:30:00", campaign_group_id=15),
         row("2024-01-02 01:30:00", campaign_group_id=None),
     )
