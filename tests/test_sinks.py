@@ -8,7 +8,9 @@ from helpers import dicts, log_of, row
 from pyspark import cloudpickle
 from pyspark.sql import functions as F
 
-from bidweave.fixtures.queries import read_dataset, write_log
+from bidweave.fixtures.log import lineitem_log
+from bidweave.fixtures.queries import read_dataset, terms_of, write_log
+from bidweave.operators.normalize import publish
 from bidweave.plans.jobs import StrayRows, daily_job, intraday_job, run_rollups, stray_rows
 from bidweave.session import shared_dir
 from bidweave.sinks import files
@@ -91,6 +93,24 @@ def test_intraday_job_covers_the_six_hours_before(spark, source, tmp_path):
     assert {r.hh for r in spark.read.parquet(written["terms_log_agg_min"]).collect()} == {5}
 
 
+@pytest.mark.parametrize("zone, ansi", [("Asia/Kolkata", "true"), ("America/New_York", "false")])
+def test_a_day_is_a_day_of_the_session_time_zone(spark, tmp_path, zone, ansi):
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    spark.conf.set("spark.sql.ansi.enabled", ansi)
+    try:
+        log = lineitem_log(spark, "/root/testdata/sf0.001")
+        stored = write_log(log, str(tmp_path / "zoned"))
+        (day,) = {str(r.dt) for r in scan_bid_log(spark, stored).select("dt").distinct().collect()}
+        written = daily_job(spark, stored, str(tmp_path / "o"), day=day)
+        got = read_dataset(spark, written["terms_log_agg_hr"])
+        expected = publish(terms_of(log, "hour")).select(*got.columns)
+        assert got.count() > 0
+        assert got.exceptAll(expected).isEmpty() and expected.exceptAll(got).isEmpty()
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+        spark.conf.unset("spark.sql.ansi.enabled")
+
+
 def test_late_rows_count_for_their_own_hour(spark, source, tmp_path):
     write_partition(spark, source, "2024-01-01", 6, 5, row("2024-01-01 05:59:59"))
     target = str(tmp_path / "o")
