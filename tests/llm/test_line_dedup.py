@@ -1,0 +1,60 @@
+"""Line dedup against a plain version."""
+
+import re
+from collections import defaultdict
+
+import pytest
+
+from bidweave.llm.line_dedup import dedup_lines
+
+SCHEMA = "doc_id bigint, text string, h1 string, n_docs int, keeper int, kept_text string"
+LONG = "this line has clearly more than forty characters in it"
+
+
+def plain(rows, min_chars=40, min_docs=5):
+    def key(line):
+        line = re.sub(r"^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$", "", line)
+        return "".join(c.lower() if "A" <= c <= "Z" else c for c in line)
+
+    holders = defaultdict(set)
+    for doc_id, text in rows:
+        for line in (text or "").split("\n"):
+            if doc_id is not None and len(key(line)) >= min_chars:
+                holders[key(line)].add(doc_id)
+    found = []
+    for doc_id, text in rows:
+        lines = (text or "").split("\n")
+        gone = [
+            doc_id is not None
+            and len(holders[key(x)]) >= min_docs
+            and max(holders[key(x)]) != doc_id
+            for x in lines
+        ]
+        kept = "\n".join(x for x, g in zip(lines, gone) if not g)
+        found.append((doc_id, len(lines), sum(gone), kept))
+    return sorted(found, key=str)
+
+
+ROWS = (
+    [(i, f"{LONG}\nown {i}\n\t{LONG.upper()} \r\nÄ{LONG}") for i in range(9)]
+    + [(20, None), (21, ""), (22, "\n\n"), (None, LONG), (23, f"{LONG}\n" * 3000)]
+    + [(30 + i, "four documents are not enough for this one line") for i in range(4)]
+    + [(30, "four documents are not enough for this one line"), (8, f"other row of eight\n{LONG}")]
+    + [(8, f"other row of eight\n{LONG}")]
+)
+
+
+@pytest.mark.parametrize("batches,fanout", [(1, 3), (4, 2), (7, 3)])
+def test_matches_plain_version(spark, batches, fanout):
+    rows = [(a, b, "h", 1, 2, "old") for a, b in ROWS]
+    docs = spark.createDataFrame(rows, SCHEMA).repartition(3)
+    found = dedup_lines(docs, batches=batches, fanout=fanout)
+    got = sorted(((r.doc_id, r.n_lines, r.n_dropped, r.kept_text) for r in found.collect()), key=str)
+    assert got == plain(ROWS)
+    assert {"h1", "n_docs", "keeper"} <= set(found.columns)
+
+
+def test_empty_table(spark):
+    assert dedup_lines(spark.createDataFrame([], SCHEMA)).count() == 0
+    nameless = spark.createDataFrame([(None, "a")], "doc_id bigint, text string")
+    assert dedup_lines(nameless).first().kept_text == "a"
