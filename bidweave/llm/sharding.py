@@ -16,7 +16,7 @@ from __future__ import annotations
 from bisect import bisect_left, bisect_right
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from bidweave.llm.common import staged
@@ -28,8 +28,9 @@ MORE_BITS = 10
 
 @dataclass(frozen=True)
 class Cell:
-    """Keys ``low`` to ``high`` (inclusive, as found), their size and whether one key is all."""
+    """Keys that agree above their last ``bits`` bits: first and last one found, their size."""
 
+    bits: int
     low: int
     high: int
     size: int
@@ -38,12 +39,18 @@ class Cell:
     def single(self) -> bool:
         return self.low == self.high
 
+    @property
+    def number(self) -> int:
+        return self.low >> self.bits
+
 
 class Packing:
     """Greedy packing of ordered cells, by their running totals."""
 
-    def __init__(self, cells: list[Cell]):
+    def __init__(self, cells: list[Cell], heaviest: int):
+        """``heaviest`` is the largest group, which no capacity can be below."""
         self.cells = cells
+        self.heaviest = heaviest
         self.ends = []
         total = 0
         for cell in cells:
@@ -70,7 +77,7 @@ class Packing:
         return found
 
     def smallest(self, n_shards: int, fluid: bool) -> int:
-        low, high = -(-self.total // n_shards), self.total
+        low, high = max(self.heaviest, -(-self.total // n_shards)), self.total
         while low < high:
             middle = (low + high) // 2
             if self.cuts(middle, n_shards, fluid)[-1] >= self.total:
@@ -94,69 +101,54 @@ class Packing:
         return sorted(found)
 
 
-def _cells(sizes: DataFrame, cell: Column) -> list[Cell]:
+def _cells(groups: DataFrame, bits: int) -> list[Cell]:
     rows = (
-        sizes.groupBy(cell.alias("cell"))
+        groups.groupBy(F.shiftright("key", bits).alias("cell"))
         .agg(F.min("key").alias("low"), F.max("key").alias("high"), F.sum("size").alias("size"))
-        .select("low", "high", "size")
         .collect()
     )
-    return sorted((Cell(r.low, r.high, int(r.size)) for r in rows), key=lambda c: c.low)
+    return [Cell(bits, r.low, r.high, int(r.size)) for r in rows]
+
+
+def _parts(groups: DataFrame, opened: list[Cell]) -> list[Cell]:
+    """The opened cells in smaller cells."""
+    found = []
+    for bits in {c.bits for c in opened}:
+        # One number for each opened cell: bounded like the cells themselves.
+        numbers = groups.sparkSession.createDataFrame(
+            [(c.number,) for c in opened if c.bits == bits], "cell bigint"
+        )
+        inside = groups.join(
+            F.broadcast(numbers), F.shiftright("key", bits) == F.col("cell"), "left_semi"
+        )
+        found += _cells(inside, max(0, bits - MORE_BITS))
+    return found
 
 
 def minimax_cuts(sizes: DataFrame, n_shards: int) -> list[int]:
     """First keys of shards 1, 2, ... for a table of (key long, size long).
 
     What reaches the driver is bounded whatever the table holds: 2^14 cells at
-    first, then 2^10 for each cell that a cut may fall into.
+    first, then 2^10 for each cell that a cut may fall into. The heaviest group
+    bounds the capacity from below, so one huge group does not blur the cuts.
     """
-    bits = KEY_BITS - FIRST_BITS
-    cells = _cells(sizes, F.shiftright("key", bits))
-    while True:
-        packing = Packing(cells)
-        opened = packing.open_cells(n_shards)
-        if not opened:
-            break
-        bits = max(0, bits - MORE_BITS)
-        # Cells opened later than others are split from the span they were found to have.
-        spans = [cells[i] for i in opened]
-        inside = F.lit(False)
-        for low, high in _merged(spans, cells):
-            inside = inside | F.col("key").between(low, high)
-        parts = _cells(sizes.where(inside), F.shiftright("key", bits))
-        keep = [c for i, c in enumerate(cells) if i not in set(opened)]
-        wanted = [c for c in parts if any(s.low <= c.low and c.high <= s.high for s in _near(spans, c))]
-        cells = sorted(keep + wanted, key=lambda c: c.low)
-    if not cells:
+    groups = staged(sizes.groupBy("key").agg(F.sum("size").alias("size")), "shard-groups")
+    heaviest = groups.agg(F.max("size")).first()[0]
+    if heaviest is None:
         return []
+    cells = sorted(_cells(groups, KEY_BITS - FIRST_BITS), key=lambda c: c.low)
+    while places := (packing := Packing(cells, int(heaviest))).open_cells(n_shards):
+        opened = [cells[i] for i in places]
+        kept = set(cells).difference(opened)
+        cells = sorted([*kept, *_parts(groups, opened)], key=lambda c: c.low)
     capacity = packing.smallest(n_shards, False)
     starts = []
     for at in packing.cuts(capacity, n_shards, False)[:-1]:
-        if at >= packing.total:
-            break
-        starts.append(cells[bisect_right(packing.ends, at)].low)
+        if at < packing.total:
+            starts.append(cells[bisect_right(packing.ends, at)].low)
     return starts
 
 
-def _near(spans: list[Cell], cell: Cell) -> list[Cell]:
-    i = bisect_right([s.low for s in spans], cell.low)
-    return spans[max(0, i - 1) : i]
-
-
-def _merged(spans: list[Cell], cells: list[Cell]) -> list[tuple[int, int]]:
-    """Ranges over neighbouring open cells, so that the filter stays short."""
-    place = {c.low: i for i, c in enumerate(cells)}
-    found: list[tuple[int, int]] = []
-    last = None
-    for span in spans:
-        if last is not None and place[span.low] == last + 1:
-            found[-1] = (found[-1][0], span.high)
-        else:
-            found.append((span.low, span.high))
-        last = place[span.low]
-    return found
-
-
 def shard_documents(docs: DataFrame, n_shards: int, slot_rows: int = 50_000) -> DataFrame:
     """(doc_id, size, text_crc32, shard, slot) of every row of ``docs`` (doc_id, text).
 
