@@ -25,5 +25,24 @@ FROM judged GROUP BY doc_id
 """
 
 
+NEAREST = """
+WITH usable AS (
+    SELECT DISTINCT vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings
+    WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+      AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+      AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+), scored AS (
+    SELECT q.vec_id AS query_id, c.vec_id AS vec_id, list_inner_product(q.v, c.v) AS score
+    FROM usable AS q JOIN usable AS c ON q.vec_id <> c.vec_id AND len(q.v) = len(c.v)
+    WHERE q.vec_id % 20 = 0
+), ranked AS (
+    SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank,
+           vec_id, score
+    FROM scored
+)
+SELECT * FROM ranked WHERE rank <= 20
+"""
+
+
 def build() -> dict[str, str]:
-    return {"op6_line_dedup": LINE_DEDUP}
+    return {"op1_nearest_neighbours": NEAREST, "op6_line_dedup": LINE_DEDUP}

@@ -1,0 +1,61 @@
+"""Nearest neighbours against all pairs."""
+
+import math
+
+import numpy as np
+import pytest
+
+from bidweave.llm.nearest import nearest, quantised, tile
+
+SCHEMA = "vec_id bigint, embedding array<float>, rank int, score double, block int"
+
+
+def all_pairs(rows, queries, k):
+    def fine(v):
+        return v is not None and all(x is not None and math.isfinite(x) for x in v) and any(v)
+
+    known = sorted({(i, tuple(np.float32(v).astype(float))) for i, v in rows if i is not None and fine(v)})
+    found = {}
+    for q, x in known:
+        if q in queries:
+            scored = [
+                (-sum(a * b for a, b in zip(x, y, strict=True)), i)
+                for i, y in known
+                if i != q and len(y) == len(x)
+            ]
+            found[q] = [(i, -s) for s, i in sorted(scored)[:k]]
+    return found
+
+
+def test_bounds_hold():
+    rng = np.random.default_rng(1)
+    x, y = rng.normal(size=(50, 33)) * 10, rng.normal(size=(70, 33)) * rng.exponential(size=(70, 1))
+    product, bound = tile(quantised(x), quantised(y))
+    assert (np.abs(product - x @ y.T) <= bound).all()
+
+
+@pytest.mark.parametrize("k,block_rows,query_rows", [(5, 16, 7), (20, 4096, 1024), (400, 50, 3)])
+def test_matches_all_pairs(spark, k, block_rows, query_rows):
+    rng = np.random.default_rng(2)
+    rows = [(i, rng.normal(size=6).round(2).tolist()) for i in range(150)]
+    rows += [(200 + i, [1.0, 0, 0, 0, 0, 1.0]) for i in range(60)]
+    rows += [(300, None), (301, [0.0] * 6), (302, [float("nan")] * 6), (303, [None] * 6)]
+    rows += [(304, [1.0, float("inf"), 0, 0, 0, 0]), (305, []), (None, [1.0] * 6), rows[4], rows[20]]
+    rows += [(320, [3.0, 1.0]), (321, [2.0, 5.0]), (340, [4.0])]
+    rows = [(i, v and [x if x is None else float(x) for x in v]) for i, v in rows]
+    frame = spark.createDataFrame([(*r, 0, 0.0, 9) for r in rows], SCHEMA).repartition(4)
+    found = {}
+    for r in nearest(frame, frame.where("vec_id % 20 = 0"), k, block_rows, query_rows).collect():
+        found.setdefault(r.query_id, []).append((r.rank, r.vec_id, r.score))
+    want = all_pairs(rows, {i for i, _ in rows if i is not None and i % 20 == 0}, k)
+    want = {q: v for q, v in want.items() if v}
+    assert set(found) == set(want)
+    for q, got in found.items():
+        got.sort()
+        assert [r for r, _, _ in got] == list(range(1, len(got) + 1))
+        assert [(i, s) for _, i, s in got] == want[q]
+
+
+def test_empty_table(spark):
+    frame = spark.createDataFrame([], SCHEMA)
+    assert nearest(frame, frame).count() == 0

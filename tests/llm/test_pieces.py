@@ -1,0 +1,124 @@
+"""Encoding, decoding and counting against the sentencepiece library and each other."""
+
+import random
+import zlib
+
+import numpy as np
+import public_tokenizers
+import pytest
+import sentencepiece
+
+from bidweave.llm.pieces import pretokens, vocabulary
+from bidweave.llm.sentencepiece_codec import Encoder, decode, decode_documents, encode_documents
+from bidweave.llm.token_counts import count_tokens, terminal_counts, token_totals
+
+PATH = public_tokenizers.path("piece_bpe_32k.model")
+TEXTS = [
+    "Hello world",
+    " leading and  double   spaces ",
+    "line\nbreaks\n\n and\ttabs",
+    "Ünïcödé ☃ \U0001f600 mixed 日本語 text",
+    "x" * 60,
+    "a",
+    " ",
+    "Thntblere of then, edtioner in inea | that esly 12,345.67",
+    "\x00\x7f control",
+]
+
+
+@pytest.fixture(scope="module")
+def library():
+    """The library with the same pieces as a unigram model: field 3 of the trainer
+    settings (field 2 of the file) is the model type."""
+    raw = open(PATH, "rb").read() + b"\x12\x02\x18\x01"
+    return sentencepiece.SentencePieceProcessor(model_proto=raw)
+
+
+def random_texts(n):
+    rng = random.Random(0)
+    parts = ["th", "e", "in", " ", "tion", "é", "ß", ".", "\n", "  ", "A", "日", "q", "zz"]
+    return ["".join(rng.choices(parts, k=rng.randint(1, 60))) for _ in range(n)]
+
+
+def plain_ids(text):
+    """Best segmentation of the whole text, a position at a time."""
+    vocab = vocabulary(PATH)
+    known = {p: i for i, p in enumerate(vocab.pieces) if vocab.raw[i] and not p.startswith("<0x")}
+    marked = "▁" + text.replace(" ", "▁")
+    best = [(0.0, 0, None)] + [None] * len(marked)
+    for end in range(1, len(marked) + 1):
+        for start in range(max(0, end - vocab.longest), end):
+            piece = known.get(marked[start:end])
+            if piece is None and end - start > 1:
+                continue
+            score = vocab.unknown if piece is None else vocab.scores[piece]
+            total = best[start][0] + score
+            if best[end] is None or total > best[end][0]:
+                best[end] = total, start, piece
+    ids, end = [], len(marked)
+    while end:
+        _, start, piece = best[end]
+        raw = vocab.byte_ids[list(marked[start:end].encode())].tolist()
+        ids = ([piece] if piece is not None else raw) + ids
+        end = start
+    return ids
+
+
+def test_same_ids_as_plain_search():
+    texts = TEXTS + random_texts(300)
+    coded = [np.frombuffer(c, np.int32).tolist() for c in Encoder(PATH)(texts)]
+    assert coded == [plain_ids(t) for t in texts]
+
+
+def test_at_least_the_score_of_the_library(library):
+    """The library's path on texts whose characters all have pieces (its 32-bit sums
+    are exact there): the same ids nearly always, never a better score."""
+    rng = random.Random(1)
+    parts = ["th", "e", "in", " ", "tion", "re", ".", "A", "q", "zz", "ed"]
+    texts = [" ".join("".join(rng.choices(parts, k=9)).split()) for _ in range(300)]
+    scores, same = vocabulary(PATH).scores, 0
+    for text, ids in zip(texts, Encoder(PATH)(texts), strict=True):
+        own, other = np.frombuffer(ids, np.int32).tolist(), library.encode(text)
+        same += own == other
+        assert scores[own].sum() >= scores[other].sum()
+    assert same >= 0.97 * len(texts)
+
+
+def test_round_trip_and_counts():
+    vocab, texts = vocabulary(PATH), TEXTS + random_texts(100)
+    coded = [np.frombuffer(c, np.int32) for c in Encoder(PATH)(texts)]
+    assert [decode(c, vocab) for c in coded] == texts
+    for text, ids in zip(texts, coded, strict=True):
+        assert sum(terminal_counts(pretokens(text), vocab)) == len(ids)
+
+
+def test_no_piece_crosses_pretokens():
+    for piece in vocabulary(PATH).pieces:
+        assert "▁" not in piece.lstrip("▁")
+
+
+SCHEMA = "doc_id bigint, text string, ids string, n_tokens string, source string"
+
+
+def test_documents(spark):
+    rows = [(i, t, "x", "y", "s") for i, t in enumerate([None, "", "a▁b", "w" * 30_000, *TEXTS])]
+    rows += [rows[5], (None, "nobody", "x", "y", "t")]
+    docs = spark.createDataFrame(rows, SCHEMA).repartition(3)
+    found = encode_documents(docs, PATH)
+    decoded = decode_documents(found, PATH).collect()
+    assert len(decoded) == len(rows)
+    for r in decoded:
+        raw = np.array(r.ids, "<i4").tobytes()
+        assert (r.n_tokens, r.ids_crc32) == (len(r.ids), zlib.crc32(raw))
+        same = "▁" not in (r.text or "")
+        assert r.round_trip == same == (r.decoded == (r.text or ""))
+    counts = {(r.doc_id, r.n_tokens) for r in count_tokens(docs, PATH).collect()}
+    assert counts == {(r.doc_id, r.n_tokens) for r in decoded}
+    totals = {r.source: (r.n_docs, r.n_tokens) for r in token_totals(docs, PATH, ["source"]).collect()}
+    assert totals["s"][0] == len(rows) - 1
+    assert sum(n for _, n in totals.values()) == sum(r.n_tokens for r in decoded)
+
+
+def test_empty_table(spark):
+    empty = spark.createDataFrame([], SCHEMA)
+    assert encode_documents(empty, PATH).count() == count_tokens(empty, PATH).count() == 0

@@ -1,0 +1,72 @@
+"""Token files: round trip, random access, ids of the tokenizers library."""
+
+import random
+import zlib
+
+import numpy as np
+import public_tokenizers
+from tokenizers import Tokenizer
+
+from bidweave.llm.token_files import (
+    WordEncoder,
+    id_at,
+    pack_ids,
+    read_token_files,
+    unpack_ids,
+    write_token_files,
+)
+
+PATH = public_tokenizers.path("byte_bpe_50k.json")
+SCHEMA = "doc_id bigint, text string, start int, part int, ids string"
+
+
+def library():
+    found = Tokenizer.from_file(PATH)
+    found.encode_special_tokens = True
+    return found
+
+
+def texts(n):
+    rng = random.Random(5)
+    parts = ["the", " ", "  ", "\n", " \n", "\t", "é", "don't", " 's", "12", ",", "\u00a0", "日本", "<|endoftext|>", "\0", "\u2003 ", "x" * 40]
+    return ["".join(rng.choices(parts, k=rng.randint(0, 30))) for _ in range(n)]
+
+
+def test_same_ids_as_the_library():
+    given = [None, "", " ", "one", " lead", "trail ", *texts(800)]
+    want = [c.ids for c in library().encode_batch([t or "" for t in given], add_special_tokens=False)]
+    assert [np.frombuffer(c, "<u4").tolist() for c in WordEncoder(PATH)(given)] == want
+
+
+def test_codes():
+    rng = np.random.default_rng(0)
+    for ids in ([], [0], [255, 256, 65535, 65536, 2**32 - 1], rng.integers(0, 50_257, 5000).tolist()):
+        ids = np.array(ids, np.uint32)
+        levels, marks, ranks = pack_ids(ids)
+        assert unpack_ids(levels, marks).tolist() == ids.tolist()
+        assert [id_at(levels, marks, ranks, i) for i in range(len(ids))] == ids.tolist()
+
+
+def test_files(spark, tmp_path):
+    given = [(i, t, 1, 2, "x") for i, t in enumerate([None, "", "word " * 3000, *texts(60)])]
+    random.Random(1).shuffle(given)
+    given += [(None, "nobody", 1, 2, "x"), (7, "again", 1, 2, "x")]
+    docs = spark.createDataFrame(given, SCHEMA).repartition(5)
+    write_token_files(docs, f"{tmp_path}/t", PATH, 2, block_tokens=500)
+    rows = sorted(read_token_files(spark, f"{tmp_path}/t").collect(), key=lambda r: r.start)
+    known = library()
+    assert len(rows) == len(given)
+    assert [r.doc_id for r in rows] == sorted((g[0] for g in given), key=lambda i: -1 if i is None else i)
+    assert [r.start for r in rows] == [0, *np.cumsum([r.n_tokens for r in rows])[:-1].tolist()]
+    text_of = {}
+    for g in given:
+        text_of.setdefault(g[0], []).append(g[1])
+    for r in rows:
+        assert r.ids_crc32 == zlib.crc32(np.array(r.ids, "<u4").tobytes())
+        assert r.ids[-1] == 2 and r.n_tokens == len(r.ids)
+        assert r.ids[:-1] in [known.encode(t or "", add_special_tokens=False).ids for t in text_of[r.doc_id]]
+
+
+def test_empty_table(spark, tmp_path):
+    write_token_files(spark.createDataFrame([], SCHEMA), f"{tmp_path}/t", PATH, 2)
+    assert read_token_files(spark, f"{tmp_path}/t").count() == 0
