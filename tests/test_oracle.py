@@ -8,12 +8,15 @@ import duckdb
 import pytest
 
 import __spark_entry__ as contract
+from bidweave.fixtures import oracle
+from bidweave.fixtures import queries as catalog
 
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 TABLES = "events lineitem".split()
 
-QUERIES = contract.queries()
-SQL = contract.oracle_sql()
+#: Those of this library's own catalog; other folders bring their own tests.
+QUERIES = {name: contract.queries()[name] for name in catalog.build()}
+SQL = {name: contract.oracle_sql()[name] for name in oracle.build()}
 
 
 @pytest.fixture(scope="module")
