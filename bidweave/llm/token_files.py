@@ -25,7 +25,7 @@ from bidweave.llm.common import tasks
 CHUNK_BITS, RANK_STEP = 8, 512
 BLOCK_TOKENS = 1 << 20
 SCHEMA = (
-    "part int, block int, doc_ids array<bigint>, counts array<bigint>, n_tokens bigint, "
+    "part int, block int, first bigint, doc_ids array<bigint>, counts array<bigint>, n_tokens bigint, "
     "levels array<binary>, marks array<binary>, ranks array<binary>"
 )
 #: Words that a worker keeps encoded.
@@ -136,7 +136,8 @@ def write_token_files(
     """Writes the ids of all whole texts, ``end_id`` after each, in ascending doc_id order.
 
     Null texts are empty ones. Rows are dealt by ranges of doc_id (rows without
-    one first); part and block number the blocks in that order. Rows that
+    one first); part and block number the blocks in that order, ``first`` counts
+    the ids of the part before a block. Rows that
     repeat a doc_id all stay. A block holds whole documents, about
     ``block_tokens`` ids or one longer document.
     """
@@ -150,13 +151,13 @@ def write_token_files(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, part, block = WordEncoder(tokenizer_path), TaskContext.get().partitionId(), 0
-        ids, counts, parts, held = [], [], [], 0
+        ids, counts, parts, held, first = [], [], [], 0, 0
 
         def flush() -> pa.RecordBatch:
             values = np.frombuffer(b"".join(parts), "<u4")
             levels, marks, ranks = pack_ids(values)
-            row = [part, block, ids, counts, len(values), levels, marks, ranks]
-            kinds = [pa.int32(), pa.int32(), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.int64()]
+            row = [part, block, first, ids, counts, len(values), levels, marks, ranks]
+            kinds = [pa.int32(), pa.int32(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.int64()]
             kinds += [pa.list_(pa.binary())] * 3
             names = [c.split()[0] for c in SCHEMA.split(", ")]
             cells = [pa.array([v], k) for v, k in zip(row, kinds, strict=True)]
@@ -170,6 +171,7 @@ def write_token_files(
                 for name, code in zip(names, coded, strict=True):
                     if held and held + len(code) // 4 + 1 > block_tokens:
                         yield flush()
+                        first += held
                         block, ids, counts, parts, held = block + 1, [], [], [], 0
                     ids.append(name)
                     counts.append(len(code) // 4 + 1)
@@ -184,18 +186,16 @@ def write_token_files(
 def read_token_files(spark: SparkSession, path: str) -> DataFrame:
     """(doc_id, start, n_tokens, ids_crc32, ids) of every document, decoded from the files."""
     stored = spark.read.schema(SCHEMA).parquet(path)
-    sizes = stored.select("part", "block", "n_tokens")
-    # One row for each task of the writing job.
-    parts = sizes.groupBy("part").agg(F.sum("n_tokens").alias("n")).selectExpr(
+    parts = stored.groupBy("part").agg(F.sum("n_tokens").alias("n")).selectExpr(
         "part", "sum(n) OVER (ORDER BY part) - n AS part_start"
     )
-    starts = sizes.join(parts, "part").selectExpr(
-        "part",
-        "block",
-        "part_start + sum(n_tokens) OVER (PARTITION BY part ORDER BY block) - n_tokens AS first",
-    )
-    located = stored.join(starts, ["part", "block"]).select(
-        "doc_ids", "counts", "levels", "marks", F.col("first").cast("bigint")
+    # A row for each task of the writing job, of which there are spark.sql.shuffle.partitions.
+    located = stored.join(F.broadcast(parts), "part").select(
+        "doc_ids",
+        "counts",
+        "levels",
+        "marks",
+        (F.col("part_start") + F.col("first")).cast("bigint").alias("first"),
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
