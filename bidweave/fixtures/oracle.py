@@ -234,6 +234,17 @@ def build() -> dict[str, str]:
             FROM log GROUP BY ALL""",
         "run_rollups": f"{stored} {datasets(['hour', 'minute'])}",
     }
+    limits = {
+        "run_daily_one_hour": ("epoch // 3600000 % 24 = 2", "hour"),
+        "run_daily_buckets": ("user_id % 4 IN (0, 2)", "hour"),
+        "run_daily_all_buckets": ("epoch // 3600000 % 24 = 1", "hour"),
+        "run_intraday_cut": ("epoch // 3600000 % 24 < 2", "minute"),
+        "run_late_rows": ("true", "hour"),
+        "rerun_rollups": ("epoch // 3600000 % 24 <> 2 AND user_id % 4 <> 0", "hour"),
+    }
+    for name, (kept, grain) in limits.items():
+        inputs = f"SELECT * FROM ({LINEITEM_INPUTS}) AS i WHERE {kept}"
+        sql[name] = f"{log_ctes(inputs)} {datasets([grain])}"
     for grain in GRAINS:
         sql[f"run_daily_{grain}"] = f"{stored} {datasets([grain])}"
         sql[f"run_intraday_{grain}"] = f"{stored} {datasets([grain])}"

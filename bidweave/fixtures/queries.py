@@ -197,6 +197,50 @@ def q_intraday(grain: str, spark: SparkSession, sf_dir: str) -> DataFrame:
     return stacked(spark, intraday_job(spark, log, target, f"{DAY}T04:00:00", grain))
 
 
+def q_run_window(
+    hour: str | None, mods: str | None, spark: SparkSession, sf_dir: str
+) -> DataFrame:
+    """A daily run that leaves most of the stored log out."""
+    target, log = new_shared_path(spark, "part"), stored_log(spark, sf_dir)
+    return stacked(spark, daily_job(spark, log, target, "hour", day=DAY, hour=hour, mods=mods))
+
+
+def q_run_cut(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """An intraday run across midnight that ends within the stored log."""
+    target, log = new_shared_path(spark, "cut"), stored_log(spark, sf_dir)
+    return stacked(spark, intraday_job(spark, log, target, f"{DAY}T02:00:00", "minute"))
+
+
+def q_late(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows that arrive after their hour was run: hours later, the next day, in another bucket."""
+    log, target = lineitem_log(spark, sf_dir), new_shared_path(spark, "late-run")
+    path = new_shared_path(spark, "late-log")
+    delay = F.pmod(F.xxhash64("epoch", "campaign_id", "auction_id"), F.lit(20))
+    write_log(log.where(delay >= 4), path)
+    run_rollups(spark, path, target, Window.day(DAY))
+    hours = F.when(delay == 0, 1).when(delay == 1, 5).when(delay == 2, 24).otherwise(0)
+    stored = F.timestamp_millis(F.col("epoch") + hours * 3_600_000)
+    moved = log.where(delay < 4).withColumns(
+        {
+            "dt": F.date_format(stored, "yyyy-MM-dd"),
+            "hh": F.date_format(stored, "HH"),
+            "cgid_mod": F.when(delay == 3, 7).otherwise(bucket_of(F.col("campaign_group_id"))),
+        }
+    )
+    moved.write.mode("append").partitionBy(*PARTITION_COLUMNS).parquet(path)
+    run_rollups(spark, path, target, Window.trailing(f"{DAY}T11:00:00", 11))
+    return stacked(spark, run_rollups(spark, path, target, Window.day("2024-01-02")))
+
+
+def q_rerun(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A run repeated after an hour and a bucket have gone from the log."""
+    target, path = new_shared_path(spark, "rerun"), new_shared_path(spark, "rerun-log")
+    run_rollups(spark, stored_log(spark, sf_dir), target, Window.day(DAY))
+    bucket = bucket_of(F.col("campaign_group_id"))
+    write_log(lineitem_log(spark, sf_dir).where((event_hour(F.col("epoch")) != 2) & (bucket != 98)), path)
+    return stacked(spark, run_rollups(spark, path, target, Window.day(DAY)))
+
+
 def q_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = write_log(lineitem_log(spark, sf_dir), new_shared_path(spark, "aged"))
     archive = new_shared_path(spark, "archive")
@@ -242,6 +286,12 @@ def build() -> dict[str, Query]:
         "write_rollups": q_write,
         "archive_aged_partitions": q_archive,
         "run_rollups": q_run,
+        "run_daily_one_hour": partial(q_run_window, "2", None),
+        "run_daily_buckets": partial(q_run_window, None, "98 0"),
+        "run_daily_all_buckets": partial(q_run_window, "1", "98 999"),
+        "run_intraday_cut": q_run_cut,
+        "run_late_rows": q_late,
+        "rerun_rollups": q_rerun,
     }
     for grain in GRAINS:
         found[f"run_daily_{grain}"] = partial(q_daily, grain)

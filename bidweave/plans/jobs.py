@@ -5,11 +5,10 @@ from __future__ import annotations
 from collections.abc import Iterable
 from datetime import date, datetime
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from bidweave.functions.columns import bucket_of, event_time
 from bidweave.operators import rollups as R
 from bidweave.operators.reports import (
     bucket_from_group,
@@ -18,15 +17,12 @@ from bidweave.operators.reports import (
     groups_with_null_key,
 )
 from bidweave.plans.base import Base, stage_base
-from bidweave.schema import BID_LOG_SCHEMA, GRAINS, Grain, grain_of
+from bidweave.plans.late import scope_log, scope_of
+from bidweave.schema import GRAINS, Grain, grain_of
 from bidweave.session import scratch_path
 from bidweave.sinks.rollups import MODES, write_rollups
 from bidweave.sources.bid_log import scan_bid_log
-from bidweave.sources.windows import Window, in_mods, parse_mods
-
-
-class StrayRows(ValueError):
-    """Log rows stored too far from the hour they belong to."""
+from bidweave.sources.windows import Window, parse_mods
 
 
 def rollup_datasets(
@@ -55,56 +51,6 @@ def finest(grains: Iterable[str]) -> str:
     return max(grains, key=lambda g: len(GRAINS[g].keys))
 
 
-def is_stray(late_hours: int, by_bucket: bool) -> Column:
-    """Rows that no overwriting run would find: stored more than ``late_hours``
-    from their hour or, for runs over single buckets, in a foreign bucket."""
-    stored = F.col("dt").cast("timestamp") + F.make_dt_interval(hours=F.col("hh"))
-    slack = F.expr(f"interval {late_hours} hours")
-    at = event_time(F.col("epoch"))
-    near = (at >= stored - slack) & (at < stored + slack + F.expr("interval 1 hour"))
-    stray = ~F.coalesce(near, F.lit(False))
-    if by_bucket:
-        stray = stray | ~bucket_of(F.col("campaign_group_id")).eqNullSafe(F.col("cgid_mod"))
-    return stray
-
-
-def stray_rows(
-    spark: SparkSession,
-    source: str,
-    window: Window,
-    mods: str | Iterable[int] | None = None,
-    late_hours: int = 1,
-    schema: T.StructType = BID_LOG_SCHEMA,
-) -> DataFrame:
-    """Stray rows of the window, reading only ``epoch`` and the group id."""
-    log = scan_bid_log(spark, source, window, mods, schema)
-    chosen = log.where(is_stray(late_hours, parse_mods(mods) is not None))
-    return chosen.select("dt", "hh", "cgid_mod", "epoch", "campaign_group_id")
-
-
-def window_log(
-    spark: SparkSession,
-    source: str,
-    window: Window,
-    mods: str | Iterable[int] | None = None,
-    mode: str = "overwrite",
-    late_hours: int = 1,
-    schema: T.StructType = BID_LOG_SCHEMA,
-) -> DataFrame:
-    """Raw log rows a run works on.
-
-    "append" takes the rows stored in the window's partitions. "overwrite"
-    takes the rows that happened in the window, since it replaces whole hours:
-    it also looks ``late_hours`` around the window, where the predicate on
-    ``epoch`` skips all row groups but those holding late rows.
-    """
-    if mode == "append":
-        return scan_bid_log(spark, source, window, mods, schema)
-    log = scan_bid_log(spark, source, window.widened(late_hours), mods, schema)
-    buckets = in_mods(bucket_of(F.col("campaign_group_id")), parse_mods(mods))
-    return log.where(window.on_epoch() & buckets)
-
-
 def run_rollups(
     spark: SparkSession,
     source: str,
@@ -113,40 +59,42 @@ def run_rollups(
     grains: str | Iterable[str] = ("hour",),
     mods: str | Iterable[int] | None = None,
     mode: str = "overwrite",
-    late_hours: int = 1,
-    strays: str = "fail",
     null_safe: bool = False,
     numeric_max: bool = False,
-    schema: T.StructType = BID_LOG_SCHEMA,
+    schema: T.StructType | None = None,
 ) -> dict[str, str]:
     """Rolls a window of the log up and writes the datasets below ``target``.
 
     One pass over the log serves all datasets of all ``grains``. Returns the
     path of each dataset.
 
-    An overwriting run first looks for stray rows (see ``is_stray``), which no
-    such run could place, and fails if there are any; raise ``late_hours``,
-    append instead, or pass ``strays="skip"`` to go on without them.
+    "append" adds the rows stored in the window's partitions. "overwrite"
+    replaces the window's hours and buckets, and all others that have rows
+    stored in them (see ``bidweave.plans.late``), with all of their rows;
+    rows without ``epoch`` count at the start of the hour they are stored in.
     """
     wanted = [grains] if isinstance(grains, str) else list(grains)
     for g in wanted:
         grain_of(g)
     if mode not in MODES:
         raise ValueError(f"mode must be one of {MODES}, got {mode!r}")
-    chosen = parse_mods(mods)
-    if mode == "overwrite" and strays == "fail":
-        found = stray_rows(spark, source, window, chosen, late_hours, schema).count()
-        if found:
-            raise StrayRows(f"{found} rows stored too far from their hour or bucket in {window}")
-    raw = window_log(spark, source, window, chosen, mode, late_hours, schema)
+    chosen, target = parse_mods(mods), target.rstrip("/")
+    scope = None
+    if mode == "append":
+        raw = scan_bid_log(spark, source, window, chosen, schema)
+    else:
+        scope = scope_of(spark, source, target, window, chosen, schema)
+        raw = scope_log(spark, source, scope, schema)
     with scratch_path(spark, "base") as path:
         base = stage_base(spark, raw, finest(wanted), path, numeric_max)
         frames: dict[str, DataFrame] = {}
         for g in wanted:
             for name, frame in rollup_datasets(base, g, null_safe, numeric_max).items():
                 # Runs over different buckets must not share one NULL bucket.
-                frames[name] = bucket_from_group(frame) if mode == "overwrite" else frame
-        return write_rollups(frames, target, mode)
+                frames[name] = bucket_from_group(frame) if scope else frame
+        if scope is None:
+            return write_rollups(frames, target, mode)
+        return write_rollups(frames, target, mode, scope.days(), scope.holds)
 
 
 def daily_job(
@@ -161,7 +109,8 @@ def daily_job(
 ) -> dict[str, str]:
     """Rollups of one day (yesterday by default) or of one of its hours."""
     whole = hour in (None, "", "None")
-    window = Window.day(day) if whole else Window.hour(day, hour)
+    today = spark.range(1).select(F.current_date()).first()[0]
+    window = Window.day(day, today) if whole else Window.hour(day, hour, today)
     return run_rollups(spark, source, target, window, grain, mods, **options)
 
 
@@ -175,5 +124,6 @@ def intraday_job(
     **options,
 ) -> dict[str, str]:
     """Rollups of the six hours before the execution time."""
-    window = Window.trailing(executed_at)
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    window = Window.trailing(executed_at, zone=zone)
     return run_rollups(spark, source, target, window, grain, mods, **options)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import atexit
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -11,6 +12,7 @@ from pyspark.sql import SparkSession
 
 
 _local_dirs: dict[str, str] = {}
+_made: list[tuple[SparkSession, str]] = []
 
 
 def local_session(cores: int | str = 8, partitions: int = 8, memory: str = "8g") -> SparkSession:
@@ -39,6 +41,9 @@ def shared_dir(spark: SparkSession) -> str:
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named.rstrip("/")
+    on_context = spark.sparkContext.getCheckpointDir() if hasattr(spark, "_jsparkSession") else None
+    if on_context:
+        return on_context.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
     app = spark.sparkContext.applicationId
@@ -48,7 +53,19 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def new_shared_path(spark: SparkSession, label: str) -> str:
-    return f"{shared_dir(spark)}/bidweave/{label}-{uuid.uuid4().hex}"
+    """A new path in the shared folder, removed when the driver program ends."""
+    path = f"{shared_dir(spark)}/bidweave/{label}-{uuid.uuid4().hex}"
+    _made.append((spark, path))
+    return path
+
+
+@atexit.register
+def remove_made() -> None:
+    """Removes the paths of sessions that still run; a stopped one can remove nothing."""
+    for spark, path in _made:
+        if spark.sparkContext._jsc is not None:
+            delete_path(spark, path)
+    _made.clear()
 
 
 def delete_path(spark: SparkSession, path: str) -> None:

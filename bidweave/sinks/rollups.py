@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
+from datetime import date
 
 from pyspark import inheritable_thread_target
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 from bidweave.schema import PARTITION_COLUMNS
+from bidweave.session import delete_path
 
 MODES = ("overwrite", "append")
 
@@ -29,14 +32,56 @@ def write_rollup(frame: DataFrame, path: str, mode: str = "overwrite") -> str:
     return path
 
 
+def partition_files(
+    spark: SparkSession, path: str, days: set[date]
+) -> dict[tuple[date, int, int | None], tuple[str, frozenset[str]]]:
+    """Folder and file names of each partition of these days."""
+    jvm = spark.sparkContext._jvm
+    found: dict = {}
+    for day in days:
+        pattern = jvm.org.apache.hadoop.fs.Path(f"{path}/dt={day.isoformat()}/hh=*/cgid_mod=*/*")
+        fs = pattern.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        for status in fs.globStatus(pattern) or ():
+            folder, name = status.getPath().getParent(), status.getPath().getName()
+            hour = int(folder.getParent().getName().removeprefix("hh="))
+            bucket = folder.getName().removeprefix("cgid_mod=")
+            key = day, hour, int(bucket) if bucket.lstrip("-").isdigit() else None
+            names = found.get(key, ("", frozenset()))[1]
+            found[key] = folder.toString(), names | {name}
+    return found
+
+
+def replace_rollup(
+    frame: DataFrame, path: str, days: set[date], replaces: Callable[..., bool]
+) -> str:
+    """Writes one frame over the partitions that ``replaces`` accepts.
+
+    Partitions that get rows are overwritten; the others of the run, which have
+    the same files as before, are removed.
+    """
+    spark = frame.sparkSession
+    before = partition_files(spark, path, days)
+    write_rollup(frame, path, "overwrite")
+    after = partition_files(spark, path, days)
+    for key, (folder, names) in before.items():
+        if replaces(*key) and after.get(key) == (folder, names):
+            delete_path(spark, folder)
+    return path
+
+
 def write_rollups(
-    frames: dict[str, DataFrame], root: str, mode: str = "overwrite"
+    frames: dict[str, DataFrame],
+    root: str,
+    mode: str = "overwrite",
+    days: set[date] | None = None,
+    replaces: Callable[..., bool] | None = None,
 ) -> dict[str, str]:
     """Writes each frame to its own folder below ``root``; returns the paths.
 
-    "overwrite" replaces only the partitions that are written, so a repeated
-    run leaves the same rows; "append" adds to what is there. The datasets do
-    not depend on each other, so their jobs are submitted side by side and one
+    "append" adds to what is there. "overwrite" replaces the partitions that
+    get rows and, given the ``days`` of a run and which partitions it
+    ``replaces``, removes those of the run that get none. The datasets do not
+    depend on each other, so their jobs are submitted side by side and one
     fills the cores that another's last tasks leave idle.
     """
     if mode not in MODES:
@@ -44,6 +89,10 @@ def write_rollups(
     with ThreadPoolExecutor(max_workers=max(1, len(frames))) as pool:
         jobs = {}
         for name, frame in frames.items():
-            write = inheritable_thread_target(frame.sparkSession)(write_rollup)
-            jobs[name] = pool.submit(write, frame, f"{root.rstrip('/')}/{name}", mode)
+            path = f"{root.rstrip('/')}/{name}"
+            action, rest = write_rollup, (mode,)
+            if mode == "overwrite" and replaces is not None:
+                action, rest = replace_rollup, (days or set(), replaces)
+            write = inheritable_thread_target(frame.sparkSession)(action)
+            jobs[name] = pool.submit(write, frame, path, *rest)
         return {name: job.result() for name, job in jobs.items()}

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterable
+from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,41 +13,63 @@ from bidweave.schema import BID_LOG_SCHEMA, PARTITION_FIELDS
 from bidweave.sources.windows import Window, in_mods, parse_mods
 
 
-def day_paths(spark: SparkSession, root: str, window: Window | None) -> list[str]:
-    """Paths to list: the root, or the window's day folders that exist.
+def day_paths(spark: SparkSession, root: str, days: Iterable[date] | None) -> list[str]:
+    """Paths to list: the root, or the day folders that exist.
 
     The log spans years; naming the days keeps the file listing to the window.
     """
-    if window is None:
+    if days is None:
         return [root]
     jvm = spark.sparkContext._jvm
     conf = spark.sparkContext._jsc.hadoopConfiguration()
     found = []
-    for day in window.hours_by_day():
+    for day in sorted(days):
         path = jvm.org.apache.hadoop.fs.Path(f"{root}/dt={day.isoformat()}")
         if path.getFileSystem(conf).exists(path):
             found.append(path.toString())
     return found
 
 
+def read_bid_log(
+    spark: SparkSession,
+    root: str,
+    days: Iterable[date] | None = None,
+    schema: T.StructType | None = None,
+) -> DataFrame:
+    """Bid log below ``root``, limited to day folders.
+
+    Without ``schema`` the types are those of the files. Columns that the
+    rollups need must be there; a log without any file is empty.
+    """
+    root = root.rstrip("/")
+    paths = day_paths(spark, root, days)
+    if not paths:
+        return spark.createDataFrame([], T.StructType([*(schema or BID_LOG_SCHEMA), *PARTITION_FIELDS]))
+    found = schema
+    if found is None:
+        own = spark.read.option("basePath", root).parquet(*paths).schema
+        parts = {f.name for f in PARTITION_FIELDS}
+        found = T.StructType([f for f in own if f.name not in parts])
+        missing = [n for n in BID_LOG_SCHEMA.fieldNames() if n not in found.fieldNames()]
+        if missing:
+            raise ValueError(f"the log at {root} has no column {', '.join(missing)}")
+    full = T.StructType([*found.fields, *PARTITION_FIELDS])
+    return spark.read.schema(full).option("basePath", root).parquet(*paths)
+
+
 def scan_bid_log(
     spark: SparkSession,
     root: str,
     window: Window | None = None,
     mods: str | Iterable[int] | None = None,
-    schema: T.StructType = BID_LOG_SCHEMA,
+    schema: T.StructType | None = None,
 ) -> DataFrame:
     """Bid log below ``root``, limited to a window and to buckets.
 
     The limits are predicates on the partition columns ``dt``, ``hh`` and
     ``cgid_mod``. A window without any partition gives an empty frame.
     """
-    root = root.rstrip("/")
-    full = T.StructType([*schema.fields, *PARTITION_FIELDS])
-    paths = day_paths(spark, root, window)
-    if not paths:
-        return spark.createDataFrame([], full)
-    log = spark.read.schema(full).option("basePath", root).parquet(*paths)
+    log = read_bid_log(spark, root, None if window is None else window.hours_by_day(), schema)
     if window is not None:
         log = log.where(window.on_partitions())
     chosen = parse_mods(mods)
@@ -60,7 +83,7 @@ def present_partitions(spark: SparkSession, root: str, window: Window) -> DataFr
     """
     root = root.rstrip("/")
     fields = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in PARTITION_FIELDS)
-    paths = day_paths(spark, root, window)
+    paths = day_paths(spark, root, window.hours_by_day())
     if not paths:
         return spark.createDataFrame([], fields)
     files = (
@@ -70,7 +93,9 @@ def present_partitions(spark: SparkSession, root: str, window: Window) -> DataFr
         .load(paths)
     )
     columns = [F.col(f.name).cast(f.dataType).alias(f.name) for f in PARTITION_FIELDS]
-    return files.select(*columns).where(window.on_partitions()).distinct()
+    # The source makes a task of each large file, though no byte of it is read.
+    listed = files.select(*columns).where(window.on_partitions())
+    return listed.coalesce(spark.sparkContext.defaultParallelism).distinct()
 
 
 def expected_partitions(

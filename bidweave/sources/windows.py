@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterable
 from dataclasses import dataclass
 from datetime import date, datetime, timedelta
+from zoneinfo import ZoneInfo
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -43,11 +44,18 @@ class Window:
         return cls(cls.day(day, today).start + timedelta(hours=number), 1)
 
     @classmethod
-    def trailing(cls, executed_at: str | datetime, hours: int = 6) -> Window:
-        """The ``hours`` whole hours before the execution time."""
+    def trailing(
+        cls, executed_at: str | datetime, hours: int = 6, zone: str | None = None
+    ) -> Window:
+        """The ``hours`` whole hours before the execution time.
+
+        A time with an offset is converted to ``zone``, the session's time zone.
+        """
         at = executed_at
         if isinstance(at, str):
             at = datetime.fromisoformat(at)
+        if at.tzinfo is not None and zone is not None:
+            at = at.astimezone(ZoneInfo(zone))
         end = at.replace(minute=0, second=0, microsecond=0, tzinfo=None)
         return cls(end - timedelta(hours=hours), hours)
 
@@ -55,10 +63,6 @@ class Window:
     def end(self) -> datetime:
         return self.start + timedelta(hours=self.hours)
 
-    def widened(self, hours: int) -> Window:
-        """The window with ``hours`` more hours on either side."""
-        return Window(self.start - timedelta(hours=hours), self.hours + 2 * hours)
-
     def hours_by_day(self) -> dict[date, list[int]]:
         found: dict[date, list[int]] = {}
         for n in range(self.hours):
@@ -66,36 +70,33 @@ class Window:
             found.setdefault(at.date(), []).append(at.hour)
         return found
 
-    def on_partitions(self) -> Column:
-        """Predicate on the ``dt`` and ``hh`` partition columns."""
+    def on_key(self, day: date, hour: int) -> bool:
+        return hour in self.hours_by_day().get(day, ())
+
+    def on_partitions(self, day_column: str = "dt", hour_column: str = "hh") -> Column:
+        """Predicate on the ``dt`` and ``hh`` partition columns, or columns like them."""
         chosen = F.lit(False)
         for day, hours in self.hours_by_day().items():
-            one = F.col("dt") == F.lit(day)
+            one = F.col(day_column) == F.lit(day)
             if len(hours) < 24:
-                one = one & F.col("hh").isin(hours)
+                one = one & F.col(hour_column).isin(hours)
             chosen = chosen | one
         return chosen
 
-    def on_epoch(self) -> Column:
-        """Predicate on ``epoch``, folded to constants that reach the scan."""
-
-        def millis(at: datetime) -> Column:
-            return F.unix_millis(F.lit(at.isoformat(sep=" ")).cast("timestamp"))
-
-        epoch = F.col("epoch")
-        return (epoch >= millis(self.start)) & (epoch < millis(self.end))
-
 
 def parse_mods(mods: str | int | Iterable[int] | None) -> list[int] | None:
     """Bucket list from text or numbers; None means all buckets.
 
-    None, "None", an empty list and any list holding 999 select all buckets.
+    None, "None", an empty text and any list holding 999 select all buckets; an
+    empty list, as a caller's filter may leave it, is an error.
     """
     if mods is None or mods == "None":
         return None
     if isinstance(mods, int):
         mods = [mods]
     numbers = [int(m) for m in (mods.split() if isinstance(mods, str) else mods)]
+    if not numbers and not isinstance(mods, str):
+        raise ValueError("the bucket list is empty; pass None for all buckets")
     if not numbers or ALL_BUCKETS in numbers:
         return None
     return sorted(set(numbers))

@@ -16,7 +16,8 @@ from bidweave.operators.reports import (
     groups_with_null_key,
 )
 from bidweave.plans.base import aggregate_records
-from bidweave.plans.jobs import stray_rows, window_log
+from bidweave.plans.late import moved_rows
+from bidweave.sources.bid_log import scan_bid_log
 from bidweave.session import shared_dir
 from bidweave.sinks.archive import aged_files
 from bidweave.sinks.rollups import write_rollup
@@ -117,17 +118,15 @@ def test_a_report_reads_the_payload_once(spark, tmp_path):
         assert sum("pacing_debug_data" in scan for scan in scans) == 1
 
 
-def test_stray_check_reads_only_what_it_needs(spark, tmp_path):
+def test_search_for_moved_rows_reads_only_what_it_needs(spark, tmp_path):
     keyed = log_of(spark, row()).withColumns(
         {"dt": F.lit("2024-01-01"), "hh": F.lit("05"), "cgid_mod": F.lit(5)}
     )
     path = str(tmp_path / "log")
     keyed.write.partitionBy("dt", "hh", "cgid_mod").parquet(path)
-    day = Window.day("2024-01-01")
-    strays = stray_rows(spark, path, day).select("dt")
-    assert "ReadSchema: struct<epoch:bigint>" in plan_of(strays)
-    plan = plan_of(window_log(spark, path, day))
-    assert "GreaterThanOrEqual(epoch,1704067200000)" in plan
+    moved = moved_rows(scan_bid_log(spark, path, Window.day("2024-01-01")))
+    assert moved.count() == 0
+    assert "ReadSchema: struct<epoch:bigint,campaign_group_id:bigint>" in plan_of(moved)
 
 
 def test_archive_listing_reads_no_content(spark, tmp_path):

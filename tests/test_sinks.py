@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from bidweave.fixtures.log import lineitem_log
 from bidweave.fixtures.queries import read_dataset, terms_of, write_log
 from bidweave.operators.normalize import publish
-from bidweave.plans.jobs import StrayRows, daily_job, intraday_job, run_rollups, stray_rows
+from bidweave.plans.jobs import daily_job, intraday_job, run_rollups
 from bidweave.session import shared_dir
 from bidweave.sinks import files
 from bidweave.sinks.archive import aged_files, archive_aged_partitions
@@ -111,38 +111,80 @@ def test_a_day_is_a_day_of_the_session_time_zone(spark, tmp_path, zone, ansi):
         spark.conf.unset("spark.sql.ansi.enabled")
 
 
-def test_late_rows_count_for_their_own_hour(spark, source, tmp_path):
-    write_partition(spark, source, "2024-01-01", 6, 5, row("2024-01-01 05:59:59"))
+LATE = [
+    ("2024-01-01", 6, 5, row("2024-01-01 05:59:59")),
+    ("2024-01-01", 10, 5, row("2024-01-01 05:10:00")),
+    ("2024-01-02", 3, 5, row("2024-01-01 06:30:00")),
+    ("2024-01-01", 6, 9, row("2024-01-01 05:20:00")),
+    ("2024-01-01", 6, 5, row(None)),
+]
+
+
+def requests_by_hour(spark, written):
+    stored = spark.read.parquet(written["campaign_group_log_agg_hr"])
+    own = [c for c in stored.columns if not c.startswith(("cg_", "fail_"))]
+    rows = stored.select(*own).distinct().groupBy("hh").sum("total_bid_requests").collect()
+    return {r[0]: r[1] for r in rows}
+
+
+@pytest.mark.parametrize("first", range(3))
+def test_late_rows_count_whenever_they_arrive(spark, source, tmp_path, first):
+    target = str(tmp_path / "o")
+    for hour in (5, 6)[: first + 1]:
+        daily_job(spark, source, target, day="2024-01-01", hour=hour)
+    for late in LATE:
+        write_partition(spark, source, *late)
+    order = [("2024-01-01", 10), ("2024-01-02", 3), ("2024-01-01", 6)]
+    for day, hour in order[first:] + order[:first]:
+        written = daily_job(spark, source, target, day=day, hour=hour)
+    whole = str(tmp_path / "w")
+    for day in ("2024-01-02", "2024-01-01"):
+        expected = run_rollups(spark, source, whole, Window.day(day))
+    written = daily_job(spark, source, target, day="2024-01-01", hour=5)
+    for name in written:
+        a = spark.read.parquet(written[name]).where("dt = '2024-01-01' AND hh IN (5, 6)")
+        b = spark.read.parquet(expected[name]).where("dt = '2024-01-01' AND hh IN (5, 6)")
+        assert a.exceptAll(b).isEmpty() and b.exceptAll(a).isEmpty(), name
+    counted = requests_by_hour(spark, written)
+    log = scan_bid_log(spark, source).where("auction_id IS NOT NULL")
+    hours = log.selectExpr("hour(timestamp_millis(coalesce(epoch, 1704067200000 + 21600000))) AS h")
+    assert counted[5] == hours.where("h = 5").count()
+
+
+def test_overwriting_removes_what_has_no_rows_any_more(spark, tmp_path):
     target = str(tmp_path / "o")
-    for hour in (5, 6):
-        written = daily_job(spark, source, target, day="2024-01-01", hour=hour)
-    found = dicts(spark.read.parquet(written["campaign_log_agg_hr"]).where("hh = 5"))
-    assert {f["total_bid_requests"] for f in found} == {3}
-    # Appending works on the stored hour and files late rows under their own.
-    written = daily_job(
-        spark, source, str(tmp_path / "a"), day="2024-01-01", hour=6, mode="append"
+    old, new = str(tmp_path / "old"), str(tmp_path / "new")
+    term = {"terms": [{"id": "1"}]}
+    for folder in (old, new):
+        write_partition(spark, folder, "2024-01-01", 5, 5, row("2024-01-01 05:01:00", payload=term if folder == old else None))
+    write_partition(spark, old, "2024-01-01", 6, 5, row("2024-01-01 06:01:00", payload=term))
+    run_rollups(spark, old, target, DAY)
+    other = str(tmp_path / "next")
+    write_partition(spark, other, "2024-01-02", 6, 5, row("2024-01-02 06:01:00", payload=term))
+    run_rollups(spark, other, target, Window.day("2024-01-02"))
+    written = run_rollups(spark, new, target, DAY)
+    left = {n: {(str(r.dt), r.hh) for r in spark.read.parquet(p).collect()} for n, p in written.items()}
+    assert left["campaign_log_agg_hr"] == {("2024-01-01", 5), ("2024-01-02", 6)}
+    assert left["terms_log_agg_hr"] == {("2024-01-02", 6)}
+    run_rollups(spark, str(tmp_path / "none"), target, DAY)
+    assert {str(r.dt) for r in spark.read.parquet(written["campaign_log_agg_hr"]).collect()} == {"2024-01-02"}
+
+
+def test_types_of_the_files(spark, tmp_path):
+    log = lineitem_log(spark, "/root/testdata/sf0.001")
+    typed = log.withColumns(
+        {"has_price": F.col("has_price").cast("boolean"), "price": F.col("price").cast("double"), "campaign_id": F.col("campaign_id").cast("int")}
     )
-    found = dicts(spark.read.parquet(written["campaign_log_agg_hr"]).where("hh = 5"))
-    assert [f["total_bid_requests"] for f in found] == [1]
-
-
-def test_stray_rows_stop_an_overwriting_run(spark, source, tmp_path):
-    write_partition(spark, source, "2024-01-01", 6, 5, row("2024-01-01 01:00:00"))
-    assert stray_rows(spark, source, DAY).count() == 1
-    assert stray_rows(spark, source, DAY, late_hours=5).count() == 0
-    with pytest.raises(StrayRows):
-        run_rollups(spark, source, str(tmp_path / "o"), DAY)
-    run_rollups(spark, source, str(tmp_path / "o"), DAY, strays="skip")
-    run_rollups(spark, source, str(tmp_path / "o"), DAY, late_hours=5)
-    run_rollups(spark, source, str(tmp_path / "o"), DAY, mode="append")
-
-
-def test_rows_in_a_foreign_bucket_are_strays_of_bucket_runs(spark, source, tmp_path):
-    write_partition(spark, source, "2024-01-01", 6, 9, row("2024-01-01 06:00:00"))
-    assert stray_rows(spark, source, DAY).count() == 0
-    assert stray_rows(spark, source, DAY, "9").count() == 1
-    with pytest.raises(StrayRows):
-        run_rollups(spark, source, str(tmp_path / "o"), DAY, mods="9")
+    stored = write_log(typed, str(tmp_path / "typed"))
+    written = daily_job(spark, stored, str(tmp_path / "o"), day="2024-01-01")
+    plain = daily_job(spark, write_log(log, str(tmp_path / "plain")), str(tmp_path / "p"), day="2024-01-01")
+    for name in written:
+        a, b = spark.read.parquet(written[name]), spark.read.parquet(plain[name])
+        cols = [c for c in b.columns if "price" not in c]
+        assert a.select(cols).exceptAll(b.select(cols)).isEmpty() and a.count() == b.count()
+    lacking = write_log(log.drop("price"), str(tmp_path / "lacking"))
+    with pytest.raises(ValueError, match="no column price"):
+        scan_bid_log(spark, lacking)
 
 
 def test_window_without_rows_writes_empty_datasets(spark, source, tmp_path):

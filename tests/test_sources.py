@@ -40,12 +40,16 @@ def test_trailing_windows_hold_the_hours_before(at, length):
     assert window.end == full
 
 
-@given(st.dates(date(2000, 1, 1), date(2100, 1, 1)), st.integers(0, 5))
-def test_widening_keeps_the_window_inside(day, more):
-    window = Window.day(day)
-    wide = window.widened(more)
-    assert (window.start - wide.start, wide.end - window.end) == (timedelta(hours=more),) * 2
-    assert set(window.hours_by_day()[day]) <= set(wide.hours_by_day()[day])
+def test_a_time_with_an_offset_is_converted_to_the_zone():
+    at = "2024-11-03T06:30:00+00:00"
+    assert Window.trailing(at, zone="America/New_York").end == datetime(2024, 11, 3, 1)
+    assert Window.trailing(at, zone="UTC").end == datetime(2024, 11, 3, 6)
+    assert Window.trailing("2024-11-03T06:30:00", zone="Asia/Tokyo").end == datetime(2024, 11, 3, 6)
+
+
+def test_an_empty_bucket_list_is_an_error():
+    with pytest.raises(ValueError, match="empty"):
+        parse_mods([])
 
 
 def test_day_window_and_default_day():
@@ -130,13 +134,6 @@ def test_only_the_days_of_a_window_are_listed(spark, stored):
     assert len(scan_bid_log(spark, stored, Window.hour("2024-01-02", 1)).inputFiles()) == 2
 
 
-def test_epoch_predicate_reaches_the_scan(spark, stored):
-    window = Window.hour("2024-01-01", 5)
-    log = scan_bid_log(spark, stored).where(window.on_epoch())
-    assert log.count() == 2
-    assert "GreaterThanOrEqual(epoch,1704085200000)" in plan_of(log)
-
-
 def test_window_without_partitions_is_empty(spark, stored):
     log = scan_bid_log(spark, stored, Window.day("2023-05-05"))
     assert log.count() == 0
