@@ -29,7 +29,7 @@ SCHEMA = (
     "levels array<binary>, marks array<binary>, ranks array<binary>"
 )
 #: Words that a worker keeps encoded.
-KEPT = 400_000
+KEPT = 1_000_000
 
 
 def pack_ids(ids: np.ndarray) -> tuple[list[bytes], list[bytes], list[bytes]]:
@@ -86,6 +86,12 @@ def tokenizer(path: str):
     return found
 
 
+@lru_cache(maxsize=1)
+def word_encoder(path: str) -> WordEncoder:
+    """One for all tasks of a worker."""
+    return WordEncoder(path)
+
+
 class WordEncoder:
     """Encodes whole texts through the tokenizer; remembers a bounded number of words.
 
@@ -112,9 +118,14 @@ class WordEncoder:
             words = text.replace(" ", "\0 ").split("\0") if text and "\0" not in text else None
             split.append(words)
         new = {w for words in split if words for w in words if w not in known}
-        fine = [w for w in new if _stands_alone(w)]
-        known.update(dict.fromkeys(new))
-        known.update(zip(fine, self._plain(fine), strict=True))
+        fine = {w for w in new if _stands_alone(w)}
+        known.update(dict.fromkeys(new - fine))
+        # The tokenizer cuts between a letter and a comma or full stop.
+        ended = {w for w in fine if w[-1] in ",." and w[-2:-1].isalpha()}
+        once = list(((fine - ended) | {w[:-1] for w in ended} | {",", "."}) - known.keys())
+        known.update(zip(once, self._plain(once), strict=True))
+        for word in ended:
+            known[word] = known[word[:-1]] + known[word[-1]]
         found = []
         for text, words in zip(texts, split, strict=True):
             try:
@@ -150,7 +161,7 @@ def write_token_files(
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, part, block = WordEncoder(tokenizer_path), TaskContext.get().partitionId(), 0
+        encoder, part, block = word_encoder(tokenizer_path), TaskContext.get().partitionId(), 0
         ids, counts, parts, held, first = [], [], [], 0, 0
 
         def flush() -> pa.RecordBatch:
