@@ -41,8 +41,10 @@ def event_inputs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def lineitem_inputs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One log row per line item: four hours, many rows per minute key."""
+    """One log row per line item: many rows per minute key, in the hours 22, 23, 0 and 1
+    around three midnights, so that every window leaves rows out on both sides."""
     second = (F.col("l_orderkey") * 97 + F.col("l_linenumber") * 13) % 14400
+    second = second - 7200 + F.col("l_orderkey") % 3 * 86400
     kind = F.element_at(
         F.array(*[F.lit(t) for t in EVENT_TYPES]), (F.col("l_linenumber") % 5 + 1).cast("int")
     )
@@ -74,7 +76,8 @@ def _term(i: int, spend: Column) -> Column:
 def derive_bid_log(inputs: DataFrame) -> DataFrame:
     """Raw bid log rows, JSON payload included, from the inputs above."""
     event_id, user_id, kind = F.col("event_id"), F.col("user_id"), F.col("event_type")
-    group = 98 + user_id % 4
+    plain = 98 + user_id % 4
+    group = F.when(event_id % 19 == 0, None).when(event_id % 23 == 0, -plain).otherwise(plain)
     priced = kind.isin("purchase", "click")
     spend = F.col("value").cast("decimal(12,2)").cast("string")
     counters = [spend.alias(c) for c in SPEND_COUNTERS] + [
@@ -94,7 +97,7 @@ def derive_bid_log(inputs: DataFrame) -> DataFrame:
         "epoch",
         (user_id % 2).alias("advertiser_id"),
         group.alias("campaign_group_id"),
-        (group * 10 + user_id % 3).alias("campaign_id"),
+        (plain * 10 + user_id % 3).alias("campaign_id"),
         F.when(event_id % 11 != 0, 500 + user_id % 2).alias("flight_id"),
         F.when(event_id % 17 != 0, event_id.cast("string")).alias("auction_id"),
         F.when(priced, "true").when(kind != "error", "false").alias("has_price"),

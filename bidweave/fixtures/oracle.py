@@ -23,7 +23,8 @@ LINEITEM_INPUTS = f"""
            l_suppkey AS user_id,
            list_extract({EVENT_TYPES}, CAST(l_linenumber % 5 + 1 AS INTEGER)) AS event_type,
            l_extendedprice AS value,
-           1704067200000 + ((l_orderkey * 97 + l_linenumber * 13) % 14400) * 1000 AS epoch
+           1704067200000 + ((l_orderkey * 97 + l_linenumber * 13) % 14400 - 7200
+                            + l_orderkey % 3 * 86400) * 1000 AS epoch
     FROM lineitem"""
 
 
@@ -34,18 +35,32 @@ def _counter(name: str) -> str:
     return f"CASE WHEN event_id % 13 <> 0 THEN {text} END AS {name}"
 
 
-def log_ctes(inputs: str) -> str:
+def hours_from_midnight(first: int, end: int) -> str:
+    """Predicate for whole hours counted from 2024-01-01 00:00."""
+    start = 1704067200000
+    return f"epoch >= {start + first * 3600000} AND epoch < {start + end * 3600000}"
+
+
+DAY = hours_from_midnight(0, 24)
+HOUR = "epoch // 3600000 % 24"
+
+
+def log_ctes(inputs: str, kept: str = "true") -> str:
+    """The log of the rows that ``kept`` accepts, and its terms."""
     counters = ",\n           ".join(_counter(c) for c in PAYLOAD_COUNTERS)
     return f"""WITH inputs AS ({inputs}
 ), spent AS (
-    SELECT *, CAST(CAST(value AS DECIMAL(12,2)) AS VARCHAR) AS spend FROM inputs
+    SELECT *, CAST(CAST(value AS DECIMAL(12,2)) AS VARCHAR) AS spend,
+           CASE WHEN event_id % 19 = 0 THEN NULL WHEN event_id % 23 = 0 THEN -98 - user_id % 4
+                ELSE 98 + user_id % 4 END AS campaign_group_id
+    FROM inputs
 ), log AS (
     SELECT epoch, event_id, spend,
            strftime(make_timestamp(epoch * 1000), '%Y-%m-%d') AS dt,
            CAST(epoch // 3600000 % 24 AS INTEGER) AS hh,
            CAST(epoch // 60000 % 60 AS INTEGER) AS min,
            user_id % 2 AS advertiser_id,
-           98 + user_id % 4 AS campaign_group_id,
+           campaign_group_id,
            (98 + user_id % 4) * 10 + user_id % 3 AS campaign_id,
            CASE WHEN event_id % 11 <> 0 THEN 500 + user_id % 2 END AS flight_id,
            CASE WHEN event_id % 17 <> 0 THEN CAST(event_id AS VARCHAR) END AS auction_id,
@@ -55,12 +70,12 @@ def log_ctes(inputs: str) -> str:
                 THEN CAST(value AS DECIMAL(12,4)) END AS price,
            CASE WHEN event_type = 'error' THEN 'budget' WHEN event_type = 'view' THEN 'floor'
                 WHEN event_type <> 'signup' THEN '' END AS threshold_failure_reasons,
-           (98 + user_id % 4) % 100 AS cgid_mod,
+           campaign_group_id % 100 AS cgid_mod,
            CASE WHEN event_id % 13 <> 0 THEN CAST(event_id % 5 AS VARCHAR) END AS picked_term_id,
            CASE WHEN event_id % 13 = 0 THEN NULL
                 WHEN event_id % 2 = 0 THEN '[1,2]' ELSE '[3]' END AS eligible_term_id,
            {counters}
-    FROM spent
+    FROM spent WHERE {kept}
 ), terms AS (
     SELECT dt, hh, min, cgid_mod, advertiser_id, flight_id, campaign_group_id, campaign_id,
            threshold_failure_reasons, auction_id, eligible_term_id, picked_term_id, has_price,
@@ -167,8 +182,11 @@ def campaign_report(grain: str) -> str:
     )
 
 
-def datasets(grains: list[str]) -> str:
-    """All datasets as an overwriting run stores them, stacked by column name."""
+def datasets(grains: list[str], own_bucket: bool = True) -> str:
+    """All datasets stacked by column name.
+
+    An overwriting run stores each row in its group's ``own_bucket``.
+    """
     parts = []
     for grain in grains:
         g = grain_of(grain)
@@ -177,10 +195,8 @@ def datasets(grains: list[str]) -> str:
             ("campaign", campaign_report(grain)),
             ("terms", term_rollup(grain)),
         ):
-            bucket = "campaign_group_id % 100 AS cgid_mod"
-            parts.append(
-                f"SELECT '{g.dataset(stem)}' AS dataset, * REPLACE ({bucket}) FROM ({body}) AS d"
-            )
+            bucket = " REPLACE (campaign_group_id % 100 AS cgid_mod)" if own_bucket else ""
+            parts.append(f"SELECT '{g.dataset(stem)}' AS dataset, *{bucket} FROM ({body}) AS d")
     return " UNION ALL BY NAME ".join(parts)
 
 
@@ -192,6 +208,28 @@ PAYLOAD = ", ".join([*PAYLOAD_COUNTERS, "picked_term_id", "eligible_term_id"])
 IDS = "epoch, advertiser_id, campaign_group_id, campaign_id, flight_id, auction_id"
 
 
+TRAILING = hours_from_midnight(-3, 3)
+#: Rows that each job on the stored log rolls up, and its grains.
+JOBS = {
+    "run_rollups": (DAY, ["hour", "minute"]),
+    "run_daily_hour": (DAY, ["hour"]),
+    "run_daily_minute": (DAY, ["minute"]),
+    "run_daily_one_hour": (f"{DAY} AND {HOUR} = 22", ["hour"]),
+    "run_daily_buckets": (f"{DAY} AND campaign_group_id % 100 IN (98, 0)", ["hour"]),
+    "run_daily_hour_and_buckets": (
+        f"{DAY} AND {HOUR} = 1 AND campaign_group_id % 100 IN (99, -98)", ["minute"]
+    ),
+    "run_daily_all_buckets": (f"{DAY} AND {HOUR} = 1", ["hour"]),
+    "run_daily_append": (DAY, ["hour"]),
+    "run_intraday_hour": (TRAILING, ["hour"]),
+    "run_intraday_minute": (TRAILING, ["minute"]),
+    "run_intraday_cut": (hours_from_midnight(-1, 5), ["minute"]),
+    "run_late_rows": (DAY, ["hour"]),
+    "rerun_rollups": (f"{DAY} AND {HOUR} <> 1 AND campaign_group_id % 100 <> 98", ["hour"]),
+}
+APPENDING = ("run_daily_append",)
+
+
 def build() -> dict[str, str]:
     events, stored = log_ctes(EVENTS_INPUTS), log_ctes(LINEITEM_INPUTS)
     n_terms = "CASE WHEN event_id % 13 <> 0 THEN CAST(event_id % 3 AS INTEGER) END AS n_terms"
@@ -217,35 +255,26 @@ def build() -> dict[str, str]:
     sql |= {
         "scan_bid_log": rows,
         "window_day": f"{rows} WHERE dt = '2024-01-01'",
-        "window_hour": f"{rows} WHERE dt = '2024-01-01' AND hh = 2",
+        "window_hour": f"{rows} WHERE dt = '2024-01-01' AND hh = 1",
         "window_mods": f"{rows} WHERE dt = '2024-01-01' AND campaign_group_id % 100 IN (98, 0)",
-        "window_trailing_6h": f"{rows} WHERE epoch < 1704067200000 + 3 * 3600000",
+        "window_all_buckets": f"{rows} WHERE dt = '2024-01-01'",
+        "window_default_date": f"{rows} WHERE dt = '2024-01-01'",
+        "window_trailing_6h": f"{rows} WHERE {hours_from_midnight(-1, 5)}",
         "missing_partitions": f"""{stored}
             SELECT DATE '2024-01-01' AS dt, CAST(h AS INTEGER) AS hh, CAST(m AS INTEGER) AS cgid_mod
             FROM range(24) AS hours(h) CROSS JOIN (VALUES (98), (99), (0), (1), (2)) AS mods(m)
             WHERE NOT EXISTS (SELECT 1 FROM log
                 WHERE log.dt = '2024-01-01' AND log.hh = h AND log.cgid_mod = m)""",
-        "write_rollups": f"{stored} {campaign_group_report('minute')}",
+        "write_rollups": f"{stored} {datasets(['minute'], own_bucket=False)}",
         "archive_aged_partitions": f"""{stored}
             SELECT dt, hh, CAST(cgid_mod AS INTEGER) AS cgid_mod,
+                   CASE WHEN dt <= '2024-01-01' THEN 'archive' ELSE 'log' END AS place,
                    CAST(count(*) AS BIGINT) AS log_rows,
                    CAST(count(auction_id) AS BIGINT) AS auctions,
                    CAST(sum(price) AS DECIMAL(22,4)) AS price
             FROM log GROUP BY ALL""",
-        "run_rollups": f"{stored} {datasets(['hour', 'minute'])}",
     }
-    limits = {
-        "run_daily_one_hour": ("epoch // 3600000 % 24 = 2", "hour"),
-        "run_daily_buckets": ("user_id % 4 IN (0, 2)", "hour"),
-        "run_daily_all_buckets": ("epoch // 3600000 % 24 = 1", "hour"),
-        "run_intraday_cut": ("epoch // 3600000 % 24 < 2", "minute"),
-        "run_late_rows": ("true", "hour"),
-        "rerun_rollups": ("epoch // 3600000 % 24 <> 2 AND user_id % 4 <> 0", "hour"),
-    }
-    for name, (kept, grain) in limits.items():
-        inputs = f"SELECT * FROM ({LINEITEM_INPUTS}) AS i WHERE {kept}"
-        sql[name] = f"{log_ctes(inputs)} {datasets([grain])}"
-    for grain in GRAINS:
-        sql[f"run_daily_{grain}"] = f"{stored} {datasets([grain])}"
-        sql[f"run_intraday_{grain}"] = f"{stored} {datasets([grain])}"
+    for name, (kept, grains) in JOBS.items():
+        bucket = name not in APPENDING
+        sql[name] = f"{log_ctes(LINEITEM_INPUTS, kept)} {datasets(grains, bucket)}"
     return sql

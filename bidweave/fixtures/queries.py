@@ -8,7 +8,7 @@ session to the shared folder and read back through the partitioned scan.
 from __future__ import annotations
 
 from collections.abc import Callable
-from datetime import datetime, timedelta, timezone
+from datetime import date, datetime, timedelta, timezone
 from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
@@ -124,7 +124,7 @@ def write_log(log: DataFrame, path: str) -> str:
         }
     )
     balanced = keyed.hint("rebalance", *PARTITION_COLUMNS)
-    balanced.write.partitionBy(*PARTITION_COLUMNS).parquet(path)
+    balanced.write.mode("append").partitionBy(*PARTITION_COLUMNS).parquet(path)
     return path
 
 
@@ -165,7 +165,7 @@ def q_write(spark: SparkSession, sf_dir: str) -> DataFrame:
     with scratch_path(spark, "base") as path:
         base = stage_base(spark, raw, "minute", path)
         written = write_rollups(rollup_datasets(base, "minute"), target, "append")
-    return read_dataset(spark, written["campaign_group_log_agg_min"])
+    return stacked(spark, written)
 
 
 def stacked(spark: SparkSession, written: dict[str, str]) -> DataFrame:
@@ -194,41 +194,46 @@ def q_daily(grain: str, spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_intraday(grain: str, spark: SparkSession, sf_dir: str) -> DataFrame:
     target = new_shared_path(spark, "intraday")
     log = stored_log(spark, sf_dir)
-    return stacked(spark, intraday_job(spark, log, target, f"{DAY}T04:00:00", grain))
+    return stacked(spark, intraday_job(spark, log, target, f"{DAY}T03:00:00", grain))
 
 
 def q_run_window(
-    hour: str | None, mods: str | None, spark: SparkSession, sf_dir: str
+    hour: str | None, mods: str | None, grain: str, mode: str, spark: SparkSession, sf_dir: str
 ) -> DataFrame:
     """A daily run that leaves most of the stored log out."""
     target, log = new_shared_path(spark, "part"), stored_log(spark, sf_dir)
-    return stacked(spark, daily_job(spark, log, target, "hour", day=DAY, hour=hour, mods=mods))
+    written = daily_job(spark, log, target, grain, day=DAY, hour=hour, mods=mods, mode=mode)
+    return stacked(spark, written)
 
 
 def q_run_cut(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """An intraday run across midnight that ends within the stored log."""
+    """An intraday run that starts and ends between stored hours."""
     target, log = new_shared_path(spark, "cut"), stored_log(spark, sf_dir)
-    return stacked(spark, intraday_job(spark, log, target, f"{DAY}T02:00:00", "minute"))
+    return stacked(spark, intraday_job(spark, log, target, f"{DAY}T05:00:00", "minute"))
 
 
 def q_late(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Rows that arrive after their hour was run: hours later, the next day, in another bucket."""
-    log, target = lineitem_log(spark, sf_dir), new_shared_path(spark, "late-run")
-    path = new_shared_path(spark, "late-log")
+    """Rows that arrive after their hour was run: hours later, the next day, in another
+    bucket, or without a time."""
+    epoch = F.col("epoch")
+    log = lineitem_log(spark, sf_dir).where(event_day(epoch) == DAY)
+    path, target = new_shared_path(spark, "late-log"), new_shared_path(spark, "late-run")
     delay = F.pmod(F.xxhash64("epoch", "campaign_id", "auction_id"), F.lit(20))
-    write_log(log.where(delay >= 4), path)
+    write_log(log.where(delay >= 5), path)
     run_rollups(spark, path, target, Window.day(DAY))
     hours = F.when(delay == 0, 1).when(delay == 1, 5).when(delay == 2, 24).otherwise(0)
-    stored = F.timestamp_millis(F.col("epoch") + hours * 3_600_000)
-    moved = log.where(delay < 4).withColumns(
+    stored = F.timestamp_millis(epoch + hours * 3_600_000)
+    moved = log.where(delay < 5).withColumns(
         {
             "dt": F.date_format(stored, "yyyy-MM-dd"),
             "hh": F.date_format(stored, "HH"),
             "cgid_mod": F.when(delay == 3, 7).otherwise(bucket_of(F.col("campaign_group_id"))),
+            "epoch": F.when(delay != 4, epoch),
         }
     )
     moved.write.mode("append").partitionBy(*PARTITION_COLUMNS).parquet(path)
     run_rollups(spark, path, target, Window.trailing(f"{DAY}T11:00:00", 11))
+    run_rollups(spark, path, target, Window.trailing("2024-01-02T00:00:00", 2))
     return stacked(spark, run_rollups(spark, path, target, Window.day("2024-01-02")))
 
 
@@ -237,18 +242,26 @@ def q_rerun(spark: SparkSession, sf_dir: str) -> DataFrame:
     target, path = new_shared_path(spark, "rerun"), new_shared_path(spark, "rerun-log")
     run_rollups(spark, stored_log(spark, sf_dir), target, Window.day(DAY))
     bucket = bucket_of(F.col("campaign_group_id"))
-    write_log(lineitem_log(spark, sf_dir).where((event_hour(F.col("epoch")) != 2) & (bucket != 98)), path)
+    write_log(lineitem_log(spark, sf_dir).where((event_hour(F.col("epoch")) != 1) & (bucket != 98)), path)
     return stacked(spark, run_rollups(spark, path, target, Window.day(DAY)))
 
 
 def q_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
-    root = write_log(lineitem_log(spark, sf_dir), new_shared_path(spark, "aged"))
-    archive = new_shared_path(spark, "archive")
-    later = datetime.now(timezone.utc) + timedelta(days=8)
-    archive_aged_partitions(spark, root, archive, days=7, now=later)
+    """What is archived of a log whose later days are written after the age limit."""
+    log, old = lineitem_log(spark, sf_dir), event_day(F.col("epoch")) <= DAY
+    root, archive = new_shared_path(spark, "aged"), new_shared_path(spark, "archive")
+    write_log(log.where(old), root)
+    limit = datetime.now(timezone.utc)
+    write_log(log.where(~old), root)
+    archive_aged_partitions(spark, root, archive, days=7, now=limit + timedelta(days=7))
+    places = [
+        scan_bid_log(spark, path).withColumn("place", F.lit(place))
+        for place, path in (("archive", archive), ("log", root))
+    ]
     return publish(
-        scan_bid_log(spark, archive)
-        .groupBy(*PARTITION_COLUMNS)
+        places[0]
+        .unionByName(places[1])
+        .groupBy("place", *PARTITION_COLUMNS)
         .agg(
             F.count("*").alias("log_rows"),
             F.count("auction_id").alias("auctions"),
@@ -279,16 +292,20 @@ def build() -> dict[str, Query]:
     found |= {
         "scan_bid_log": partial(q_scan, None, None),
         "window_day": partial(q_scan, Window.day(DAY), None),
-        "window_hour": partial(q_scan, Window.hour(DAY, "2"), None),
+        "window_hour": partial(q_scan, Window.hour(DAY, "1"), None),
         "window_mods": partial(q_scan, Window.day(DAY), "98 0 98"),
-        "window_trailing_6h": partial(q_scan, Window.trailing(f"{DAY}T03:00:00"), None),
+        "window_all_buckets": partial(q_scan, Window.day(DAY), "98 999"),
+        "window_default_date": partial(q_scan, Window.day(None, date(2024, 1, 2)), None),
+        "window_trailing_6h": partial(q_scan, Window.trailing(f"{DAY}T05:00:00"), None),
         "missing_partitions": q_missing,
         "write_rollups": q_write,
         "archive_aged_partitions": q_archive,
         "run_rollups": q_run,
-        "run_daily_one_hour": partial(q_run_window, "2", None),
-        "run_daily_buckets": partial(q_run_window, None, "98 0"),
-        "run_daily_all_buckets": partial(q_run_window, "1", "98 999"),
+        "run_daily_one_hour": partial(q_run_window, "22", None, "hour", "overwrite"),
+        "run_daily_buckets": partial(q_run_window, None, "98 0", "hour", "overwrite"),
+        "run_daily_hour_and_buckets": partial(q_run_window, "1", "99 -98", "minute", "overwrite"),
+        "run_daily_all_buckets": partial(q_run_window, "1", "98 999", "hour", "overwrite"),
+        "run_daily_append": partial(q_run_window, None, None, "hour", "append"),
         "run_intraday_cut": q_run_cut,
         "run_late_rows": q_late,
         "rerun_rollups": q_rerun,

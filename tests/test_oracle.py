@@ -41,6 +41,17 @@ def test_every_query_has_sql():
     assert set(QUERIES) == set(SQL)
 
 
+@pytest.mark.parametrize("name", sorted(oracle.JOBS))
+def test_window_of_each_job_cuts(duck, name):
+    """Without its window, or with one that is an hour off, a job has other rows."""
+    kept = oracle.JOBS[name][0]
+    sums = "SELECT count(*), sum(event_id) FROM log"
+    cut = duck.execute(f"{oracle.log_ctes(oracle.LINEITEM_INPUTS, kept)} {sums}").fetchone()
+    for other in ("true", oracle.hours_from_midnight(-2, 24), oracle.hours_from_midnight(0, 23)):
+        got = duck.execute(f"{oracle.log_ctes(oracle.LINEITEM_INPUTS, other)} {sums}").fetchone()
+        assert 0 < cut[0] and cut != got
+
+
 @pytest.mark.parametrize("name", sorted(QUERIES))
 def test_matches_sql(spark, duck, name):
     df = QUERIES[name](spark, SF_DIR)
