@@ -29,6 +29,10 @@ SPEND_COUNTERS = [
 EVENT_TYPES = ["view", "signup", "purchase", "error", "click"]
 
 
+def _group() -> Column:
+    return 98 + F.col("user_id") % 4
+
+
 def event_inputs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One log row per event: 30 days, about one row per minute key."""
     return spark.read.parquet(f"{sf_dir}/events.parquet").select(
@@ -37,12 +41,14 @@ def event_inputs(spark: SparkSession, sf_dir: str) -> DataFrame:
         "event_type",
         "value",
         F.unix_millis(F.col("ts").cast("timestamp")).alias("epoch"),
+        _group().alias("campaign_group_id"),
     )
 
 
 def lineitem_inputs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One log row per line item: many rows per minute key, in the hours 22, 23, 0 and 1
-    around three midnights, so that every window leaves rows out on both sides."""
+    around three midnights, so that every window leaves rows out on both sides. Some
+    groups are NULL or negative."""
     second = (F.col("l_orderkey") * 97 + F.col("l_linenumber") * 13) % 14400
     second = second - 7200 + F.col("l_orderkey") % 3 * 86400
     kind = F.element_at(
@@ -54,6 +60,11 @@ def lineitem_inputs(spark: SparkSession, sf_dir: str) -> DataFrame:
         kind.alias("event_type"),
         F.col("l_extendedprice").alias("value"),
         (F.lit(1704067200000) + second * 1000).cast("bigint").alias("epoch"),
+    ).withColumn(
+        "campaign_group_id",
+        F.when(F.col("event_id") % 19 == 0, None)
+        .when(F.col("event_id") % 23 == 0, -_group())
+        .otherwise(_group()),
     )
 
 
@@ -76,8 +87,6 @@ def _term(i: int, spend: Column) -> Column:
 def derive_bid_log(inputs: DataFrame) -> DataFrame:
     """Raw bid log rows, JSON payload included, from the inputs above."""
     event_id, user_id, kind = F.col("event_id"), F.col("user_id"), F.col("event_type")
-    plain = 98 + user_id % 4
-    group = F.when(event_id % 19 == 0, None).when(event_id % 23 == 0, -plain).otherwise(plain)
     priced = kind.isin("purchase", "click")
     spend = F.col("value").cast("decimal(12,2)").cast("string")
     counters = [spend.alias(c) for c in SPEND_COUNTERS] + [
@@ -96,8 +105,8 @@ def derive_bid_log(inputs: DataFrame) -> DataFrame:
     return inputs.select(
         "epoch",
         (user_id % 2).alias("advertiser_id"),
-        group.alias("campaign_group_id"),
-        (plain * 10 + user_id % 3).alias("campaign_id"),
+        "campaign_group_id",
+        (_group() * 10 + user_id % 3).alias("campaign_id"),
         F.when(event_id % 11 != 0, 500 + user_id % 2).alias("flight_id"),
         F.when(event_id % 17 != 0, event_id.cast("string")).alias("auction_id"),
         F.when(priced, "true").when(kind != "error", "false").alias("has_price"),

@@ -16,7 +16,9 @@ from bidweave.schema import (
 )
 
 EVENTS_INPUTS = """
-    SELECT event_id, user_id, event_type, value, epoch_us(ts) // 1000 AS epoch FROM events"""
+    SELECT event_id, user_id, event_type, value, epoch_us(ts) // 1000 AS epoch,
+           98 + user_id % 4 AS campaign_group_id
+    FROM events"""
 
 LINEITEM_INPUTS = f"""
     SELECT l_orderkey * 8 + l_linenumber AS event_id,
@@ -24,7 +26,9 @@ LINEITEM_INPUTS = f"""
            list_extract({EVENT_TYPES}, CAST(l_linenumber % 5 + 1 AS INTEGER)) AS event_type,
            l_extendedprice AS value,
            1704067200000 + ((l_orderkey * 97 + l_linenumber * 13) % 14400 - 7200
-                            + l_orderkey % 3 * 86400) * 1000 AS epoch
+                            + l_orderkey % 3 * 86400) * 1000 AS epoch,
+           CASE WHEN event_id % 19 = 0 THEN NULL WHEN event_id % 23 = 0 THEN -98 - user_id % 4
+                ELSE 98 + user_id % 4 END AS campaign_group_id
     FROM lineitem"""
 
 
@@ -50,10 +54,7 @@ def log_ctes(inputs: str, kept: str = "true") -> str:
     counters = ",\n           ".join(_counter(c) for c in PAYLOAD_COUNTERS)
     return f"""WITH inputs AS ({inputs}
 ), spent AS (
-    SELECT *, CAST(CAST(value AS DECIMAL(12,2)) AS VARCHAR) AS spend,
-           CASE WHEN event_id % 19 = 0 THEN NULL WHEN event_id % 23 = 0 THEN -98 - user_id % 4
-                ELSE 98 + user_id % 4 END AS campaign_group_id
-    FROM inputs
+    SELECT *, CAST(CAST(value AS DECIMAL(12,2)) AS VARCHAR) AS spend FROM inputs
 ), log AS (
     SELECT epoch, event_id, spend,
            strftime(make_timestamp(epoch * 1000), '%Y-%m-%d') AS dt,

@@ -9,6 +9,8 @@ JSON parse, one shuffle of partially aggregated records.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
 from typing import NamedTuple
 
 from pyspark.sql import DataFrame, SparkSession
@@ -96,6 +98,20 @@ def split_records(aggregated: DataFrame, grain: str | Grain) -> Base:
     )
 
 
+WRITERS = "spark.sql.maxConcurrentOutputFileWriters"
+
+
+@contextmanager
+def open_writers(spark: SparkSession, most: int) -> Iterator[None]:
+    """Lets a task write to ``most`` partitions at once, so that their rows need no sort."""
+    before = spark.conf.get(WRITERS)
+    spark.conf.set(WRITERS, str(most))
+    try:
+        yield
+    finally:
+        spark.conf.set(WRITERS, before)
+
+
 def stage_base(
     spark: SparkSession,
     raw: DataFrame,
@@ -110,7 +126,8 @@ def stage_base(
     only its own kind of record and its own columns.
     """
     aggregated = aggregate_records(normalize_bid_log(raw), grain, numeric_max)
-    aggregated.write.partitionBy("is_bid").parquet(path)
+    with open_writers(spark, 2):
+        aggregated.write.partitionBy("is_bid").parquet(path)
     names = [f for f in aggregated.schema.fields if f.name != "is_bid"]
     schema = T.StructType([*names, T.StructField("is_bid", T.BooleanType())])
     return split_records(spark.read.schema(schema).parquet(path), grain)

@@ -1,6 +1,8 @@
 """Plans that must hold when one key carries a third of all rows."""
 
+import re
 from contextlib import contextmanager
+from datetime import datetime, timedelta, timezone
 
 import pytest
 from helpers import log_of, row
@@ -15,7 +17,7 @@ from bidweave.operators.reports import (
     campaign_report,
     groups_with_null_key,
 )
-from bidweave.plans.base import aggregate_records
+from bidweave.plans.base import WRITERS, aggregate_records, stage_base
 from bidweave.plans.late import moved_rows
 from bidweave.sources.bid_log import scan_bid_log
 from bidweave.session import shared_dir
@@ -57,9 +59,21 @@ def test_base_aggregates_before_its_only_shuffle(spark):
     assert "partial_max" in below and "partial_sum" in below
 
 
+def test_base_is_written_without_another_sort(spark, tmp_path):
+    before = spark.conf.get(WRITERS)
+    stage_base(spark, log_of(spark, row()), "minute", str(tmp_path / "base"))
+    ran = spark._jsparkSession.sharedState().statusStore().executionsList().last()
+    plan = ran.physicalPlanDescription()
+    sorts = set(re.findall(r"^\(\d+\) Sort\b", plan, re.M))
+    assert "InsertIntoHadoopFsRelationCommand" in plan and "SortAggregate" in plan
+    assert not re.search(r"Arguments: \[is_bid#\d+ ASC", plan), plan
+    assert len(sorts) <= 4, sorts  # two, each in the initial and in the final plan
+    assert spark.conf.get(WRITERS) == before
+
+
 def hot_reasons(spark):
     """One campaign group in one hour whose failure reasons are all different."""
-    hot = (F.col("epoch") % 3000 == 0) | (F.col("campaign_group_id") == 98)
+    hot = (F.col("epoch") % 3000 == 0) | F.col("campaign_id").between(980, 989)
     log = lineitem_log(spark, SF_DIR).withColumns(
         {
             "epoch": F.lit(1704067200000) + F.col("epoch") % 3600000,
@@ -130,10 +144,11 @@ def test_search_for_moved_rows_reads_only_what_it_needs(spark, tmp_path):
 
 
 def test_archive_listing_reads_no_content(spark, tmp_path):
-    (tmp_path / "file").write_text("x")
-    plan = plan_of(aged_files(spark, str(tmp_path)))
-    assert "content" not in plan.split("ReadSchema:")[1]
-    assert "PushedFilters" in plan and "LessThan(modificationTime" in plan
+    size = 1 << 42
+    with (tmp_path / "file").open("wb") as sparse:
+        sparse.truncate(size)  # far more than a task could read
+    later = datetime.now(timezone.utc) + timedelta(days=30)
+    assert [r.length for r in aged_files(spark, str(tmp_path), now=later).collect()] == [size]
 
 
 def test_shared_folder_comes_from_the_session(spark):

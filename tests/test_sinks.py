@@ -286,9 +286,48 @@ def test_archive_reports_a_failed_file_and_moves_the_rest(spark, source, tmp_pat
     assert files_below(source) == [names[0]]
 
 
+@pytest.mark.parametrize("inside", [True, False])
+def test_archive_and_log_must_not_contain_each_other(spark, source, inside):
+    other = f"{source}/archive" if inside else os.path.dirname(source)
+    with pytest.raises(ValueError, match="must not contain"):
+        archive_aged_partitions(spark, source, other, now=NOW)
+
+
+def test_listing_is_done_in_tasks(spark, source, monkeypatch):
+    for name in files_below(source):
+        touch(f"{source}/{name}", NOW - timedelta(days=30))
+    seen = []
+    entries = files._entries
+    monkeypatch.setattr(files, "_entries", lambda *a: seen.append(a) or entries(*a))
+    found = aged_files(spark, source, now=NOW)
+    assert "MapInPandas" in found._jdf.queryExecution().executedPlan().toString() and seen == [(f"file:{source}", False)]
+    assert {f["path"] for f in dicts(found)} == {f"file:{source}/{n}" for n in files_below(source)}
+
+
+def test_hidden_files_stay(spark, tmp_path):
+    for name in (".part", "_SUCCESS", "_temporary/x", "dt=1/.crc", "dt=1/data"):
+        (tmp_path / name).parent.mkdir(exist_ok=True)
+        (tmp_path / name).write_text(name)
+        touch(tmp_path / name, NOW - timedelta(days=30))
+    found = dicts(aged_files(spark, str(tmp_path), now=NOW))
+    assert [os.path.basename(f["path"]) for f in found] == ["data"]
+
+
+@pytest.mark.parametrize("limit", [files.ONE_REQUEST, 0])
+def test_a_copy_leaves_no_partial_file(tmp_path, monkeypatch, limit):
+    monkeypatch.setattr(files, "ONE_REQUEST", limit)
+    source, target = tmp_path / "a b#c", tmp_path / "deep" / "copy"
+    source.write_bytes(b"x" * 1000)
+    with pytest.raises(OSError, match="incomplete"):
+        files.copy_file(f"file:{source}", str(target), 999)
+    assert files_below(str(tmp_path)) == ["a b#c"] and os.listdir(target.parent) == []
+    files.copy_file(f"file:{source}", str(target), 1000)
+    assert target.read_bytes() == source.read_bytes() and os.listdir(target.parent) == ["copy"]
+
+
 def test_task_functions_need_no_package_on_the_executors(tmp_path):
     pickled = tmp_path / "functions"
-    pickled.write_bytes(cloudpickle.dumps([files.copy_batches, files.delete_batches]))
+    pickled.write_bytes(cloudpickle.dumps([files.list_batches, files.copy_batches, files.delete_batches]))
     load = (
         f"import importlib.util, pickle; pickle.load(open({str(pickled)!r}, 'rb'));"
         "print(importlib.util.find_spec('bidweave'))"
