@@ -41,6 +41,8 @@ from bidweave.sources.windows import Window
 Query = Callable[[SparkSession, str], DataFrame]
 
 DAY = "2024-01-01"
+#: All hours of the stored log, for benchmarks.
+WHOLE_LOG = Window.trailing("2024-01-03T02:00:00", 52)
 
 
 def bid_source(log: DataFrame, counters: list[str]) -> DataFrame:
