@@ -140,7 +140,8 @@ def dedup_lines(
     runs = LineRuns(docs.sparkSession, fanout)
     for inside in batch_bounds(docs.select(F.col("doc_id").cast("double")), batches):
         runs.add(lines.where(inside).select(*KEY, "doc_id"))
-    frequent = runs.counted().where(F.col("n_docs") >= min_docs)
+    # Staged, so Spark knows its size: broadcast if small, else a join whose hot keys can be split.
+    frequent = staged(runs.counted().where(F.col("n_docs") >= min_docs), "frequent-lines")
     dropped = (
         lines.join(frequent, KEY)
         .where(F.col("doc_id") != F.col("keeper"))
@@ -154,7 +155,10 @@ def dedup_lines(
         (F.col("doc_id") == F.col("__doc")) & (text_id(F.col("text")) == F.col("__text")),
         "left",
     )
-    rest = F.array_join(F.transform(kept, lambda i: F.get(split, i)), "\n")
+    # The outer transform splits the text once, not once for each line kept.
+    rest = F.transform(
+        F.array(split), lambda s: F.array_join(F.transform(kept, lambda i: F.get(s, i)), "\n")
+    )[0]
     text = F.when(F.col("__drop").isNull(), F.coalesce("text", F.lit(""))).otherwise(rest)
     return joined.withColumns(
         {
