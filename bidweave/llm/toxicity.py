@@ -249,7 +249,8 @@ def train(
             found = [features(t, key) for t in batch["text"]]
             yield pd.DataFrame(found, columns=["x1", "x2"]).assign(y=batch["toxic"].to_numpy())
 
-    rows = sample.mapInPandas(measure, "x1 double, x2 double, y int").orderBy("x1", "x2", "y").collect()
+    # The sample is bounded, so its order for the fit is made here.
+    rows = sorted(sample.mapInPandas(measure, "x1 double, x2 double, y int").collect())
     x = np.array([[r.x1, r.x2] for r in rows]).reshape(-1, 2)
     return Model(lexicon, fit_curve(x, np.array([r.y for r in rows], float)), exceptions)
 
