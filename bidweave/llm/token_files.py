@@ -30,6 +30,8 @@ SCHEMA = (
 )
 #: Words that a worker keeps encoded.
 KEPT = 1_000_000
+#: Words encoded in one call.
+CALL_WORDS = 1_000
 
 
 def pack_ids(ids: np.ndarray) -> tuple[list[bytes], list[bytes], list[bytes]]:
@@ -96,34 +98,49 @@ class WordEncoder:
     """Encodes whole texts through the tokenizer; remembers a bounded number of words.
 
     A byte-level tokenizer never joins a word with what stands before the space
-    in front of it. So texts are cut before single spaces between other
-    characters, and each distinct piece is encoded once. Texts in which a piece
-    starts or ends with white space are encoded as they are.
+    in front of it, nor a line break between two other characters with either.
+    So texts are cut there, and each distinct piece is encoded once, many in one
+    call with line breaks between them. Texts in which a piece starts or ends
+    with other white space are encoded as they are.
     """
 
     def __init__(self, path: str):
         self.tokenizer = tokenizer(path)
         self.known: dict[str, bytes | None] = {}
+        (self.line_break,) = self.tokenizer.encode("\n", add_special_tokens=False).ids
 
     def _plain(self, texts: list[str]) -> list[bytes]:
         coded = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(c.ids, "<u4").tobytes() for c in coded]
 
+    def _words(self, words: list[str]) -> Iterator[bytes]:
+        """Ids of words without white space but for a space in front."""
+        for low in range(0, len(words), CALL_WORDS):
+            part = words[low : low + CALL_WORDS]
+            whole = self.tokenizer.encode_batch_fast(["\n".join(part)], add_special_tokens=False)[0]
+            ids = np.array(whole.ids, "<u4")
+            ends = np.flatnonzero(ids == self.line_break).tolist()
+            raw = ids.tobytes()
+            for a, b in zip([-1, *ends], [*ends, len(ids)], strict=True):
+                yield raw[4 * a + 4 : 4 * b]
+
     def __call__(self, texts: list[str | None]) -> list[bytes]:
         if len(self.known) > KEPT:
             self.known = {}
         known = self.known
+        known["\n"] = np.array([self.line_break], "<u4").tobytes()
         split = []
         for text in texts:
-            words = text.replace(" ", "\0 ").split("\0") if text and "\0" not in text else None
-            split.append(words)
+            cut = text and "\0" not in text
+            split.append(text.replace("\n", "\0\n\0").replace(" ", "\0 ").split("\0") if cut else None)
         new = {w for words in split if words for w in words if w not in known}
         fine = {w for w in new if _stands_alone(w)}
         known.update(dict.fromkeys(new - fine))
         # The tokenizer cuts between a letter and a comma or full stop.
         ended = {w for w in fine if w[-1] in ",." and w[-2:-1].isalpha()}
-        once = list(((fine - ended) | {w[:-1] for w in ended} | {",", "."}) - known.keys())
-        known.update(zip(once, self._plain(once), strict=True))
+        once = (fine - ended) | {w[:-1] for w in ended} | {",", "."}
+        once = [w for w in once if w not in known]
+        known.update(zip(once, self._words(once), strict=True))
         for word in ended:
             known[word] = known[word[:-1]] + known[word[-1]]
         found = []
@@ -136,9 +153,9 @@ class WordEncoder:
 
 
 def _stands_alone(word: str) -> bool:
-    """A word, or a space and a word, with no white space at its ends."""
+    """A word, or a space and a word, without other white space."""
     bare = word[1:] if word[:1] == " " else word
-    return bool(bare) and not bare[0].isspace() and not bare[-1].isspace()
+    return bare.split() == [bare]
 
 
 def write_token_files(
