@@ -2,8 +2,8 @@
 
 Texts become token templates: numbers, names and units turn into typed
 placeholders, all other words are lower-cased. Windows of template tokens are
-hash-joined with those of the benchmark, and aligned windows must fill the
-placeholders consistently: one benchmark value, one value in the document. So a
+hash-joined with those of the benchmark, and aligned windows count if they fill
+the placeholders consistently: one benchmark value, one value in the document. So a
 question is found again with other numbers or names in it. DataFrame
 operations only.
 """
@@ -87,6 +87,37 @@ def benchmark_windows(benchmark: DataFrame, width: int, min_words: int) -> DataF
     return windows.withColumnRenamed("pos", "item_pos").join(totals, "item_id")
 
 
+def _consistent(runs: DataFrame) -> DataFrame:
+    """A row for each window met of a run, without those whose placeholders conflict.
+
+    Of several document values for one item value the one at most places counts,
+    of equals the item's own. Windows with the item's own values always stay.
+    """
+    value = lambda p: F.struct(p["item"].alias("item"), p["doc"].alias("doc"))
+    runs = runs.withColumn("pairs", F.array_distinct(F.flatten(F.col("met.pairs"))))
+    runs = runs.withColumn("values", F.array_distinct(F.transform("pairs", value)))
+    conflict = F.size(F.array_distinct(F.col("values.item"))) < F.size("values")
+
+    def rank(v: Column) -> Column:
+        places = F.size(F.filter("pairs", lambda p: value(p) == v))
+        return F.struct(
+            places.alias("places"), (v["item"] == v["doc"]).alias("own"), v["doc"].alias("doc"), v["item"].alias("item")
+        )
+
+    runs = runs.withColumn("ranked", F.when(conflict, F.transform("values", rank)))
+    better = lambda r: F.exists("ranked", lambda o: (o["item"] == r["item"]) & (o > r))
+    kept = F.transform(F.filter("ranked", lambda r: ~better(r)), value)
+    rows = runs.withColumn("kept", kept).select(
+        "doc_id", "item_id", "item_windows", "kept", F.explode("met").alias("met")
+    )
+    pairs = F.col("met.pairs")
+    return rows.where(
+        F.col("kept").isNull()
+        | F.forall(pairs, lambda p: p["item"] == p["doc"])
+        | F.forall(pairs, lambda p: F.array_contains("kept", value(p)))
+    )
+
+
 def leaks(
     docs: DataFrame,
     benchmark: DataFrame,
@@ -99,7 +130,7 @@ def leaks(
 
     An item counts as held if at least ``min_share`` of its windows, or at
     least ``min_windows`` of them, are in the document with consistent
-    placeholders. Items of fewer than ``width`` tokens, or made of placeholders
+    placeholders; only the windows in conflict are left out. Items of fewer than ``width`` tokens, or made of placeholders
     only, have no window and are never reported. Null and empty texts hold
     nothing; rows without an id are left out; repeated rows are reported once.
     Other columns are ignored.
@@ -109,16 +140,20 @@ def leaks(
     # The benchmark is staged, so Spark knows its size and broadcasts it only if small.
     met = template_windows(named, "doc_id", width).join(wanted, "window")
     aligned = met.withColumn("shift", F.col("pos") - F.col("item_pos"))
-    both = F.arrays_zip(F.col("item_slots").alias("item"), F.col("slots").alias("doc"))
+    both = F.transform(
+        F.arrays_zip(F.col("item_slots").alias("item"), F.col("slots").alias("doc")),
+        lambda p, i: F.struct(
+            p["item"].alias("item"), p["doc"].alias("doc"), (F.col("item_pos") + i).alias("place")
+        ),
+    )
     filled = F.filter(both, lambda p: p["item"].isNotNull() & p["doc"].isNotNull())
+    met = F.struct("item_pos", F.coalesce(filled, F.array()).alias("pairs"))
     runs = aligned.groupBy("doc_id", "item_id", "item_windows", "shift").agg(
-        F.collect_set("item_pos").alias("places"),
-        F.array_distinct(F.flatten(F.collect_set(F.coalesce(filled, F.array())))).alias("pairs"),
+        F.collect_set(met).alias("met")
     )
-    from_item = F.size(F.array_distinct(F.transform("pairs", lambda p: p["item"])))
-    consistent = runs.where(from_item == F.size("pairs"))
+    consistent = _consistent(runs)
     return (
-        consistent.select("doc_id", "item_id", "item_windows", F.explode("places").alias("place"))
+        consistent.select("doc_id", "item_id", "item_windows", F.col("met.item_pos").alias("place"))
         .distinct()
         .groupBy("doc_id", "item_id", "item_windows")
         .agg(F.count("*").alias("n_windows"))

@@ -109,3 +109,19 @@ def test_empty_tables(spark):
     _, _, frame, bench = tables(spark)
     assert leaks(frame.limit(0), bench).count() == 0
     assert without_leaks(frame, bench.limit(0)).count() == frame.count()
+
+
+def found_in(spark, docs, items, **options):
+    frame = spark.createDataFrame(list(enumerate(docs)), "doc_id bigint, text string")
+    bench = spark.createDataFrame(list(enumerate(items)), "item_id bigint, text string")
+    return {(r.doc_id, r.item_id): r.n_windows for r in leaks(frame, bench, **options).collect()}
+
+
+def test_one_edited_value_rejects_its_own_windows_only(spark):
+    words = lambda a, n: " ".join(f"w{a}{chr(97 + i)}" for i in range(n))
+    words = lambda a, n, w=words: w(a, n).replace("0", "x").replace("1", "y").replace("2", "z")
+    item = f"{words(0, 20)} 12 {words(1, 20)} 12 {words(2, 20)}"
+    edited = item[::-1].replace("21 ", "31 ", 1)[::-1]
+    changed = item.replace(" 12 ", " 30 ", 1).replace(" 12 ", " 45 ", 1)
+    # 62 tokens: 55 windows, 8 of them over each number.
+    assert found_in(spark, [item, edited, changed], [item]) == {(0, 0): 55, (1, 0): 47, (2, 0): 47}
