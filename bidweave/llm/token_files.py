@@ -9,17 +9,15 @@ without decoding anything else.
 
 from __future__ import annotations
 
-import os
 import zlib
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from bidweave.llm.byte_encoder import byte_encoder, closed
 from bidweave.llm.common import tasks
 
 CHUNK_BITS, RANK_STEP = 8, 512
@@ -28,10 +26,6 @@ SCHEMA = (
     "part int, block int, first bigint, doc_ids array<bigint>, counts array<bigint>, n_tokens bigint, "
     "levels array<binary>, marks array<binary>, ranks array<binary>"
 )
-#: Words that a worker keeps encoded.
-KEPT = 1_000_000
-#: Words encoded in one call.
-CALL_WORDS = 1_000
 
 
 def pack_ids(ids: np.ndarray) -> tuple[list[bytes], list[bytes], list[bytes]]:
@@ -78,84 +72,52 @@ def id_at(levels: list[bytes], marks: list[bytes], ranks: list[bytes], place: in
     return found
 
 
-@lru_cache(maxsize=2)
-def tokenizer(path: str):
-    os.environ["TOKENIZERS_PARALLELISM"] = "false"
-    from tokenizers import Tokenizer
+def part_bounds(docs: DataFrame, parts: int) -> np.ndarray:
+    """Greatest doc_id of each part but the last, for parts of about equally many rows.
 
-    found = Tokenizer.from_file(path)
-    found.encode_special_tokens = True  # their names in a text are ordinary text
-    return found
+    Read from the ids alone; no more numbers than parts.
+    """
+    shares = [i / parts for i in range(1, parts)]
+    found = docs.approxQuantile("doc_id", shares, 1 / (4 * parts)) if shares else []
+    return np.sort(np.array([int(b) for b in found], np.int64))
 
 
-@lru_cache(maxsize=1)
-def word_encoder(path: str) -> WordEncoder:
-    """One for all tasks of a worker."""
-    return WordEncoder(path)
+def parts_of(ids: pa.Array, places: np.ndarray, bounds: np.ndarray, parts: int) -> np.ndarray:
+    """The part of each row, in the order of doc_id; rows without one come first, in negative parts.
 
+    Rows whose doc_id fills whole parts are spread over these by their place.
+    """
+    known = ids.fill_null(0).to_numpy(zero_copy_only=False)
+    first = np.searchsorted(bounds, known, "left")
+    last = np.searchsorted(bounds, known, "right")
+    found = first + places % (last - first + 1)
+    none = ids.is_null().to_numpy(zero_copy_only=False)
+    return np.where(none, -1 - places % parts, found).astype(np.int32)
 
-class WordEncoder:
-    """Encodes whole texts through the tokenizer; remembers a bounded number of words.
 
-    A byte-level tokenizer never joins a word with what stands before the space
-    in front of it, nor a line break between two other characters with either.
-    So texts are cut there, and each distinct piece is encoded once, many in one
-    call with line breaks between them. Texts in which a piece starts or ends
-    with other white space are encoded as they are.
-    """
+def encoded(docs: DataFrame, tokenizer_path: str, end_id: int, bounds: np.ndarray, parts: int) -> DataFrame:
+    """(part, doc_id, n, ids) of all whole texts, ``end_id`` after each; ids in two or four bytes each."""
 
-    def __init__(self, path: str):
-        self.tokenizer = tokenizer(path)
-        self.known: dict[str, bytes | None] = {}
-        (self.line_break,) = self.tokenizer.encode("\n", add_special_tokens=False).ids
-
-    def _plain(self, texts: list[str]) -> list[bytes]:
-        coded = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.array(c.ids, "<u4").tobytes() for c in coded]
-
-    def _words(self, words: list[str]) -> Iterator[bytes]:
-        """Ids of words without white space but for a space in front."""
-        for low in range(0, len(words), CALL_WORDS):
-            part = words[low : low + CALL_WORDS]
-            whole = self.tokenizer.encode_batch_fast(["\n".join(part)], add_special_tokens=False)[0]
-            ids = np.array(whole.ids, "<u4")
-            ends = np.flatnonzero(ids == self.line_break).tolist()
-            raw = ids.tobytes()
-            for a, b in zip([-1, *ends], [*ends, len(ids)], strict=True):
-                yield raw[4 * a + 4 : 4 * b]
-
-    def __call__(self, texts: list[str | None]) -> list[bytes]:
-        if len(self.known) > KEPT:
-            self.known = {}
-        known = self.known
-        known["\n"] = np.array([self.line_break], "<u4").tobytes()
-        split = []
-        for text in texts:
-            cut = text and "\0" not in text
-            split.append(text.replace("\n", "\0\n\0").replace(" ", "\0 ").split("\0") if cut else None)
-        new = {w for words in split if words for w in words if w not in known}
-        fine = {w for w in new if _stands_alone(w)}
-        known.update(dict.fromkeys(new - fine))
-        # The tokenizer cuts between a letter and a comma or full stop.
-        ended = {w for w in fine if w[-1] in ",." and w[-2:-1].isalpha()}
-        once = (fine - ended) | {w[:-1] for w in ended} | {",", "."}
-        once = [w for w in once if w not in known]
-        known.update(zip(once, self._words(once), strict=True))
-        for word in ended:
-            known[word] = known[word[:-1]] + known[word[-1]]
-        found = []
-        for text, words in zip(texts, split, strict=True):
-            try:
-                found.append(b"".join(map(known.__getitem__, words)))
-            except TypeError:
-                found.append(self._plain([text])[0] if text else b"")
-        return found
-
-
-def _stands_alone(word: str) -> bool:
-    """A word, or a space and a word, without other white space."""
-    bare = word[1:] if word[:1] == " " else word
-    return bare.split() == [bare]
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encoder, row = byte_encoder(tokenizer_path), 0
+        for batch in batches:
+            names = batch.column(0)
+            ids, counts = closed(*encoder.encode(batch.column(1)), end_id)
+            places = np.arange(row, row + batch.num_rows)
+            row += batch.num_rows
+            kind = np.dtype("<u4" if len(ids) and ids.max() >= 1 << 16 else "<u2")
+            offsets = np.concatenate(([0], np.cumsum(counts))) * kind.itemsize
+            raw = pa.py_buffer(ids.astype(kind))
+            code = pa.Array.from_buffers(pa.large_binary(), len(counts), [None, pa.py_buffer(offsets), raw])
+            part = pa.array(parts_of(names, places, bounds, parts))
+            # Few rows at a time: an Arrow batch of plain binaries holds 2 GB at most.
+            for low in range(0, len(counts), 1000):
+                cells = [part, names, pa.array(counts), code]
+                cells = [c.slice(low, 1000) for c in cells]
+                cells[3] = cells[3].cast(pa.binary())
+                yield pa.RecordBatch.from_arrays(cells, ["part", "doc_id", "n", "ids"])
+
+    return docs.mapInArrow(run, "part int, doc_id bigint, n bigint, ids binary")
 
 
 def write_token_files(
@@ -163,54 +125,107 @@ def write_token_files(
 ) -> None:
     """Writes the ids of all whole texts, ``end_id`` after each, in ascending doc_id order.
 
-    Null texts are empty ones. Rows are dealt by ranges of doc_id (rows without
-    one first); part and block number the blocks in that order, ``first`` counts
-    the ids of the part before a block. Rows that
-    repeat a doc_id all stay. A block holds whole documents, about
-    ``block_tokens`` ids or one longer document.
+    The ids are those of the library without special tokens added; an added
+    token that stands in a text is taken as that token. Null texts are empty
+    ones. Rows are dealt by ranges of doc_id, rows without one first; part and
+    block number the blocks in that order, ``first`` counts the ids of the part
+    before a block. Rows that repeat a doc_id all stay, in any order. A block
+    holds whole documents, about ``block_tokens`` ids or one longer document.
+    Texts are encoded where they are read, so ids and not texts are shuffled.
+    Rows without doc_id, and those of a doc_id that fills whole parts, are
+    dealt by their place in the input, which must come in the same order each
+    time, as files do.
     """
-    last = np.array([end_id], "<u4").tobytes()
     n = tasks(docs.sparkSession)
-    ordered = (
-        docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
-        .repartitionByRange(n, "doc_id")
-        .sortWithinPartitions("doc_id")
-    )
+    named = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    coded = encoded(named, tokenizer_path, end_id, part_bounds(named, n), n)
+    ordered = coded.repartitionById(n, F.pmod("part", F.lit(n)).cast("int")).sortWithinPartitions("part", "doc_id")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, part, block = word_encoder(tokenizer_path), TaskContext.get().partitionId(), 0
-        ids, counts, parts, held, first = [], [], [], 0, 0
+        part, block, first, held = None, 0, 0, 0
+        names: list[int | None] = []
+        counts: list[int] = []
+        codes: list[np.ndarray] = []
 
         def flush() -> pa.RecordBatch:
-            values = np.frombuffer(b"".join(parts), "<u4")
+            values = np.concatenate(codes)
             levels, marks, ranks = pack_ids(values)
-            row = [part, block, first, ids, counts, len(values), levels, marks, ranks]
+            row = [part, block, first, names, counts, len(values), levels, marks, ranks]
             kinds = [pa.int32(), pa.int32(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.int64()]
             kinds += [pa.list_(pa.binary())] * 3
-            names = [c.split()[0] for c in SCHEMA.split(", ")]
+            titles = [c.split()[0] for c in SCHEMA.split(", ")]
             cells = [pa.array([v], k) for v, k in zip(row, kinds, strict=True)]
-            return pa.RecordBatch.from_arrays(cells, names)
+            return pa.RecordBatch.from_arrays(cells, titles)
 
         for batch in batches:
-            # A few texts at a time: batches of long texts are large.
-            for low in range(0, batch.num_rows, 500):
-                names = batch.column(0).slice(low, 500).to_pylist()
-                coded = encoder(batch.column(1).slice(low, 500).to_pylist())
-                for name, code in zip(names, coded, strict=True):
-                    if held and held + len(code) // 4 + 1 > block_tokens:
-                        yield flush()
-                        first += held
-                        block, ids, counts, parts, held = block + 1, [], [], [], 0
-                    ids.append(name)
-                    counts.append(len(code) // 4 + 1)
-                    parts += [code, last]
-                    held += counts[-1]
-        if ids:
+            columns = (batch.column(i).to_pylist() for i in range(3))
+            for own, name, n_ids, raw in zip(*columns, batch.column(3), strict=True):
+                if names and (own != part or held + n_ids > block_tokens):
+                    yield flush()
+                    block, first = (block + 1, first + held) if own == part else (0, 0)
+                    names, counts, codes, held = [], [], [], 0
+                part = own
+                names.append(name)
+                counts.append(n_ids)
+                code = raw.as_buffer()
+                codes.append(np.frombuffer(code, "<u2" if len(code) == 2 * n_ids else "<u4").astype(np.uint32))
+                held += n_ids
+        if names:
             yield flush()
 
     ordered.mapInArrow(run, SCHEMA).write.parquet(path)
 
 
+def tokens_at(spark: SparkSession, path: str, wanted: DataFrame) -> DataFrame:
+    """(doc_id, place, id) for the (doc_id, place) rows of ``wanted``: single ids out of the files.
+
+    The places, counted from 0 in each document, are joined with the documents
+    of the blocks; then every block is met by its own places, and the rank
+    directories lead to each id without decoding the block. Places that repeat
+    give one row; places that a document does not have, and null ones, give
+    none. Each document of a repeated doc_id answers on its own.
+    """
+    stored = spark.read.schema(SCHEMA).parquet(path)
+
+    def begun(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Each document's first place in its block."""
+        for batch in batches:
+            for row in batch.to_pylist():
+                counts = np.array(row["counts"], np.int64)
+                n = len(counts)
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array([row["part"]] * n, pa.int32()),
+                        pa.array([row["block"]] * n, pa.int32()),
+                        pa.array(row["doc_ids"], pa.int64()),
+                        pa.array(counts),
+                        pa.array(np.cumsum(counts) - counts),
+                    ],
+                    ["part", "block", "doc_id", "n", "begun"],
+                )
+
+    documents = stored.select("part", "block", "doc_ids", "counts").mapInArrow(
+        begun, "part int, block int, doc_id bigint, n bigint, begun bigint"
+    )
+    places = wanted.select(F.col("doc_id").cast("bigint"), F.col("place").cast("bigint")).distinct()
+    found = places.join(documents, "doc_id").where("place >= 0 AND place < n")
+    # A place and its block's codes; many places of one block are packed into few rows.
+    lists = found.groupBy("part", "block", F.pmod(F.xxhash64("doc_id", "place"), F.lit(16)).alias("salt")).agg(
+        F.collect_list(F.struct("doc_id", "place", (F.col("begun") + F.col("place")).alias("at"))).alias("places")
+    )
+    met = lists.join(stored.select("part", "block", "levels", "marks", "ranks"), ["part", "block"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in batch.select(["places", "levels", "marks", "ranks"]).to_pylist():
+                places = row["places"]
+                ids = [id_at(row["levels"], row["marks"], row["ranks"], p["at"]) for p in places]
+                cells = [[p["doc_id"] for p in places], [p["place"] for p in places], ids]
+                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in cells], ["doc_id", "place", "id"])
+
+    return met.mapInArrow(run, "doc_id bigint, place bigint, id bigint")
+
+
 def read_token_files(spark: SparkSession, path: str) -> DataFrame:
     """(doc_id, start, n_tokens, ids_crc32, ids) of every document, decoded from the files."""
     stored = spark.read.schema(SCHEMA).parquet(path)

@@ -5,13 +5,17 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 from tokenizers import Tokenizer
 
+from bidweave.llm import byte_encoder
+from bidweave.llm.byte_encoder import ByteEncoder
 from bidweave.llm.token_files import (
-    WordEncoder,
     id_at,
     pack_ids,
+    parts_of,
     read_token_files,
+    tokens_at,
     unpack_ids,
     write_token_files,
 )
@@ -21,21 +25,64 @@ SCHEMA = "doc_id bigint, text string, start int, part int, ids string"
 
 
 def library():
-    found = Tokenizer.from_file(PATH)
-    found.encode_special_tokens = True
-    return found
+    return Tokenizer.from_file(PATH)
+
+
+PARTS = ["the", " ", "  ", "\n", " \n", "\t", "é", "don't", " 's", "12", ",", "\u00a0", "日本", "<|endoftext|>", "\0"]
+PARTS += ["\u2003 ", "x" * 40, "'", "''", "\r\n", "\x1c", "\x85", "!'s", "½", "٣", "\u200b", "\u3000", "B2", "\U0001f600"]
 
 
 def texts(n):
     rng = random.Random(5)
-    parts = ["the", " ", "  ", "\n", " \n", "\t", "é", "don't", " 's", "12", ",", "\u00a0", "日本", "<|endoftext|>", "\0", "\u2003 ", "x" * 40]
-    return ["".join(rng.choices(parts, k=rng.randint(0, 30))) for _ in range(n)]
+    return ["".join(rng.choices(PARTS, k=rng.randint(0, 30))) for _ in range(n)]
+
+
+def characters(n):
+    rng = random.Random(6)
+    spans = [(0, 0x7F), (0x80, 0x24F), (0x1FF0, 0x2070), (0x3000, 0x3050), (0x1F300, 0x1F5FF)]
+    return ["".join(chr(rng.randint(*rng.choice(spans))) for _ in range(rng.randint(0, 12))) for _ in range(n)]
+
+
+def encoded(given):
+    ids, counts = ByteEncoder(PATH).encode(pa.array(given, pa.string()))
+    edges = np.concatenate(([0], np.cumsum(counts)))
+    return [ids[a:b].tolist() for a, b in zip(edges[:-1], edges[1:])]
 
 
-def test_same_ids_as_the_library():
-    given = [None, "", " ", "one", " lead", "trail ", *texts(800)]
+def test_same_ids_as_the_library(monkeypatch):
+    given = [None, "", " ", "one", " lead", "trail ", "one <|endoftext|> two", *texts(3000), *characters(3000)]
     want = [c.ids for c in library().encode_batch([t or "" for t in given], add_special_tokens=False)]
-    assert [np.frombuffer(c, "<u4").tolist() for c in WordEncoder(PATH)(given)] == want
+    assert encoded(given) == want
+    # Small chunks and a short memory change nothing.
+    monkeypatch.setattr(byte_encoder, "CHUNK", 100)
+    monkeypatch.setattr(byte_encoder, "KEPT", 50)
+    assert encoded(given) == want
+
+
+def test_long_texts_have_the_ids_of_the_library():
+    rng = random.Random(3)
+    prose = " ".join("".join(rng.choices("etaoinshr", k=rng.randint(1, 9))) for _ in range(150_000))
+    code = "".join(rng.choices("ABCDEFGHabcdefgh0123456789+/", k=300_000))
+    given = [prose, code, "\n" * 5000, None, "日本語" * 3000]
+    want = [c.ids for c in library().encode_batch([t or "" for t in given], add_special_tokens=False)]
+    assert encoded(given) == want
+
+
+def test_tokenizers_of_another_kind_take_whole_texts():
+    path = public_tokenizers.path("word_bpe_49k.json")
+    given = ["Two  words", "don't stop", "", *texts(50)]
+    ids, counts = ByteEncoder(path).encode(pa.array(given))
+    want = [c.ids for c in Tokenizer.from_file(path).encode_batch(given, add_special_tokens=False)]
+    assert ids.tolist() == [i for w in want for i in w] and counts.tolist() == [len(w) for w in want]
+
+
+def test_a_repeated_id_and_rows_without_one_fill_several_parts():
+    bounds = np.array([5, 5, 5, 9])
+    ids = pa.array([1, 5, 5, 5, 5, 5, 7, 9, 9, 12, None, None, None])
+    found = parts_of(ids, np.arange(len(ids)), bounds, 5).tolist()
+    assert found[0] == 0 and found[6] == 3 and found[9] == 4
+    assert set(found[1:6]) == {0, 1, 2, 3} and set(found[7:9]) <= {3, 4}
+    assert len(set(found[10:])) == 3 and max(found[10:]) < 0
 
 
 def test_codes():
@@ -65,8 +112,17 @@ def test_files(spark, tmp_path):
         assert r.ids_crc32 == zlib.crc32(np.array(r.ids, "<u4").tobytes())
         assert r.ids[-1] == 2 and r.n_tokens == len(r.ids)
         assert r.ids[:-1] in [known.encode(t or "", add_special_tokens=False).ids for t in text_of[r.doc_id]]
+    by_id = {r.doc_id: r.ids for r in rows if r.doc_id not in (7, None)}
+    wanted = [(i, random.Random(i).randrange(len(ids))) for i, ids in by_id.items()]
+    wanted += [(2, p) for p in range(0, 3000, 7)] + [(2, 0), (2, -1), (2, 10**9), (999, 0), (None, 0), (3, None)]
+    asked = spark.createDataFrame(wanted, "doc_id bigint, place int")
+    got = {(r.doc_id, r.place): r.id for r in tokens_at(spark, f"{tmp_path}/t", asked).collect()}
+    fine = {(i, p) for i, p in wanted if i in by_id and p is not None and 0 <= p < len(by_id[i])}
+    assert got == {(i, p): by_id[i][p] for i, p in fine}
 
 
 def test_empty_table(spark, tmp_path):
     write_token_files(spark.createDataFrame([], SCHEMA), f"{tmp_path}/t", PATH, 2)
     assert read_token_files(spark, f"{tmp_path}/t").count() == 0
+    asked = spark.createDataFrame([(1, 0)], "doc_id bigint, place bigint")
+    assert tokens_at(spark, f"{tmp_path}/t", asked).count() == 0
