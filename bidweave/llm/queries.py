@@ -10,8 +10,11 @@ from pyspark.sql import functions as F
 
 from bidweave.llm.common import table
 from bidweave.llm.decontaminate import contaminated
+from bidweave.llm.fill_in_middle import fill_in_middle
+from bidweave.llm.hard_negatives import hard_negatives, scaled
 from bidweave.llm.line_dedup import dedup_lines
 from bidweave.llm.nearest import nearest
+from bidweave.llm.packing import pack_documents
 from bidweave.llm.sentencepiece_codec import encode_documents
 from bidweave.llm.sharding import shard_documents
 from bidweave.llm.simhash import hexadecimal, near_duplicates
@@ -32,6 +35,7 @@ PIECES = "piece_bpe_32k.model"
 
 BYTES = "byte_bpe_50k.json"
 END_ID = 2
+PACK_END_ID = 1
 URL_RULES = [
     "allow org/",
     "block example.org/es/",
@@ -100,6 +104,24 @@ def q_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", hexadecimal(F.col("fp")).alias("fingerprint"), "component_id")
 
 
+def q_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = scaled(table(spark, sf_dir, "embeddings"), 256)
+    # Some labels are wrong, as in any mined set.
+    turned = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives(rows.withColumn("label", turned), F.col("vec_id") % 100 == 0)
+
+
+def q_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = fill_in_middle(table(spark, sf_dir, "documents"), texts=False)
+    return found.drop("pieces")
+
+
+def q_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    packed = pack_documents(docs, public_tokenizers.path(BYTES), PACK_END_ID)
+    return packed.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
+
+
 def build() -> dict[str, Query]:
     return {
         "op1_nearest_neighbours": q_nearest,
@@ -112,4 +134,7 @@ def build() -> dict[str, Query]:
         "op6_line_dedup": q_line_dedup,
         "op8_sharding": q_sharding,
         "op10_simhash_near_dedup": q_simhash,
+        "op11_hard_negatives": q_hard_negatives,
+        "op12_fill_in_middle": q_fill_in_middle,
+        "op13_packing": q_packing,
     }
