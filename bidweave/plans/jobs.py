@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 from datetime import date, datetime
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,8 +18,8 @@ from bidweave.operators.reports import (
     groups_with_null_key,
 )
 from bidweave.plans.base import Base, stage_base
-from bidweave.plans.late import scope_log, scope_of
-from bidweave.schema import GRAINS, Grain, grain_of
+from bidweave.plans.late import Scope, scope_log, scope_of, scope_of_keys
+from bidweave.schema import GRAINS, PARTITION_COLUMNS, Grain, grain_of
 from bidweave.session import scratch_path
 from bidweave.sinks.rollups import MODES, write_rollups
 from bidweave.sources.bid_log import scan_bid_log
@@ -79,22 +80,57 @@ def run_rollups(
     if mode not in MODES:
         raise ValueError(f"mode must be one of {MODES}, got {mode!r}")
     chosen, target = parse_mods(mods), target.rstrip("/")
-    scope = None
-    if mode == "append":
-        raw = scan_bid_log(spark, source, window, chosen, schema)
-    else:
-        scope = scope_of(spark, source, target, window, chosen, schema)
+    with scratch_path(spark, "run") as path:
+        scope = None
+        if mode == "append":
+            raw = scan_bid_log(spark, source, window, chosen, schema)
+        else:
+            scope = scope_of(spark, source, target, window, chosen, f"{path}/scope", schema)
+            raw = scope_log(spark, source, scope, schema)
+        return _roll_up(raw, target, wanted, scope, f"{path}/base", null_safe, numeric_max)
+
+
+def reroll(
+    spark: SparkSession,
+    source: str,
+    target: str,
+    keys: DataFrame,
+    grains: str | Iterable[str] = ("hour",),
+    null_safe: bool = False,
+    numeric_max: bool = False,
+    schema: T.StructType | None = None,
+) -> dict[str, str]:
+    """Rolls single hours and buckets up again, each with all of its rows.
+
+    ``keys`` are (dt, hh, cgid_mod). The rows are those stored in the very
+    partitions and in the ones that the notes of earlier runs name.
+    """
+    wanted, target = [grains] if isinstance(grains, str) else list(grains), target.rstrip("/")
+    with scratch_path(spark, "run") as path:
+        scope = scope_of_keys(spark, target, keys, f"{path}/scope")
         raw = scope_log(spark, source, scope, schema)
-    with scratch_path(spark, "base") as path:
-        base = stage_base(spark, raw, finest(wanted), path, numeric_max)
-        frames: dict[str, DataFrame] = {}
-        for g in wanted:
-            for name, frame in rollup_datasets(base, g, null_safe, numeric_max).items():
-                # Runs over different buckets must not share one NULL bucket.
-                frames[name] = bucket_from_group(frame) if scope else frame
-        if scope is None:
-            return write_rollups(frames, target, mode)
-        return write_rollups(frames, target, mode, scope.days(), scope.holds)
+        return _roll_up(raw, target, wanted, scope, f"{path}/base", null_safe, numeric_max)
+
+
+def _roll_up(
+    raw: DataFrame,
+    target: str,
+    grains: list[str],
+    scope: Scope | None,
+    path: str,
+    null_safe: bool,
+    numeric_max: bool,
+) -> dict[str, str]:
+    base = stage_base(raw.sparkSession, raw, finest(grains), path, numeric_max)
+    frames: dict[str, DataFrame] = {}
+    for g in grains:
+        for name, frame in rollup_datasets(base, g, null_safe, numeric_max).items():
+            # Runs over different buckets must not share one NULL bucket.
+            frames[name] = bucket_from_group(frame) if scope else frame
+    if scope is None:
+        return write_rollups(frames, target, "append")
+    replaced = partial(scope.replaced, names=PARTITION_COLUMNS)
+    return write_rollups(frames, target, "overwrite", scope.days(), replaced)
 
 
 def daily_job(

@@ -68,10 +68,25 @@ def remove_made() -> None:
     _made.clear()
 
 
+def hadoop_path(spark: SparkSession, path: str):
+    return spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    target = hadoop_path(spark, path)
+    return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(target)
+
+
+def subfolders(spark: SparkSession, path: str) -> list[str]:
+    """Folders right below a path."""
+    target = hadoop_path(spark, path)
+    found = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).listStatus(target)
+    return [status.getPath().toString() for status in found if status.isDirectory()]
+
+
 def delete_path(spark: SparkSession, path: str) -> None:
     """Remove a path written by this library through the Hadoop file system."""
-    jvm = spark.sparkContext._jvm
-    target = jvm.org.apache.hadoop.fs.Path(path)
+    target = hadoop_path(spark, path)
     target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
 
 

@@ -76,26 +76,32 @@ def scan_bid_log(
     return log if chosen is None else log.where(in_mods(F.col("cgid_mod"), chosen))
 
 
-def present_partitions(spark: SparkSession, root: str, window: Window) -> DataFrame:
-    """Partitions of the window that hold files.
+def partition_files(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """(file, dt, hh, cgid_mod) of the Parquet files below some paths of partitioned tables.
 
-    Read from the file listing, one row per file; no file is opened.
+    Read from the file listing, one row per file; no file is opened. Partition
+    values are taken from the path, so the paths need no common root, and
+    folders without any file are no error.
     """
+    fields = [
+        F.regexp_extract("path", f"/{f.name}=([^/]*)/", 1).try_cast(f.dataType).alias(f.name)
+        for f in PARTITION_FIELDS
+    ]
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
+    listed = files.option("pathGlobFilter", "*.parquet").load(paths).select(F.col("path").alias("file"), *fields)
+    # The source makes a task of each large file, though no byte of it is read.
+    return listed.coalesce(spark.sparkContext.defaultParallelism)
+
+
+def present_partitions(spark: SparkSession, root: str, window: Window) -> DataFrame:
+    """Partitions of the window that hold files."""
     root = root.rstrip("/")
     fields = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in PARTITION_FIELDS)
     paths = day_paths(spark, root, window.hours_by_day())
     if not paths:
         return spark.createDataFrame([], fields)
-    files = (
-        spark.read.format("binaryFile")
-        .option("basePath", root)
-        .option("pathGlobFilter", "*.parquet")
-        .load(paths)
-    )
-    columns = [F.col(f.name).cast(f.dataType).alias(f.name) for f in PARTITION_FIELDS]
-    # The source makes a task of each large file, though no byte of it is read.
-    listed = files.select(*columns).where(window.on_partitions())
-    return listed.coalesce(spark.sparkContext.defaultParallelism).distinct()
+    listed = partition_files(spark, paths).drop("file")
+    return listed.where(window.on_partitions()).distinct()
 
 
 def expected_partitions(

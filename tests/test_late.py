@@ -1,0 +1,84 @@
+"""Late rows in any number of hours, and their notes."""
+
+import os
+
+from helpers import log_of, row
+from pyspark.sql import functions as F
+
+from bidweave.fixtures.queries import read_dataset, write_log
+from bidweave.plans import late
+from bidweave.plans.jobs import reroll, run_rollups
+from bidweave.plans.late import NOTES, add_notes, noted
+from bidweave.sources.windows import Window
+
+DAY = Window.day("2024-01-01")
+HOURS = 5000
+
+
+def late_log(spark, path):
+    """One partition with rows of 5,000 earlier hours, and rows of its own."""
+    own = spark.range(20).select(F.col("id").alias("n"), F.lit(0).alias("back"))
+    old = spark.range(1, HOURS + 1).select(F.lit(100).alias("n"), F.col("id").alias("back"))
+    base = log_of(spark, row("2024-01-01 06:00:00"))
+    epoch = F.col("epoch") + F.col("n") * 1000 - F.col("back") * 3_600_000
+    rows = own.unionByName(old).crossJoin(base).withColumn("epoch", epoch).drop("n", "back")
+    keyed = rows.withColumns({"dt": F.lit("2024-01-01"), "hh": F.lit("06"), "cgid_mod": F.lit(5)})
+    keyed.repartition(2).write.partitionBy("dt", "hh", "cgid_mod").parquet(path)
+
+
+def test_late_rows_of_thousands_of_hours(spark, tmp_path, monkeypatch):
+    log, target = str(tmp_path / "log"), str(tmp_path / "o")
+    late_log(spark, log)
+    # What reaches the driver: days, never keys or notes.
+    seen = []
+    collect = type(spark.range(0)).collect
+    monkeypatch.setattr(type(spark.range(0)), "collect", lambda self: seen.append(self.columns) or collect(self))
+    written = run_rollups(spark, log, target, DAY)
+    monkeypatch.undo()
+    assert set(map(tuple, seen)) <= {("dt",)}
+    report = spark.read.parquet(written["campaign_log_agg_hr"])
+    assert report.count() == HOURS + 1
+    assert report.agg(F.sum("fail_count_campaign_id")).first()[0] == HOURS + 20
+    assert noted(spark, target).count() == HOURS
+    # A later run of one of these hours finds its row by the note.
+    some = report.where("total_bid_requests = 1").select("dt", "hh").first()
+    written = run_rollups(spark, log, target, Window.hour(str(some.dt), some.hh))
+    assert spark.read.parquet(written["campaign_log_agg_hr"]).count() == HOURS + 1
+    assert noted(spark, target).count() == HOURS
+
+
+def test_no_notes_without_moved_rows(spark, tmp_path):
+    log, target = str(tmp_path / "log"), str(tmp_path / "o")
+    write_log(log_of(spark, row("2024-01-01 05:10:00")), log)
+    run_rollups(spark, log, target, DAY)
+    assert NOTES not in os.listdir(target)
+    assert noted(spark, target) is None
+
+
+def test_notes_are_kept_once_and_in_few_files(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(late, "MOST_NOTE_FILES", 4)
+    target = str(tmp_path)
+    for n in [0, 1, 2, 2, 3, 4, 5, 0, 6]:
+        rows = [("2024-01-01", n, None, "2024-01-02", h, 5) for h in range(2)]
+        frame = spark.createDataFrame(rows, "own_dt string, own_hh int, own_mod int, dt string, hh int, cgid_mod int")
+        moved = frame.withColumns({c: F.col(c).cast("date") for c in ("own_dt", "dt")})
+        add_notes(spark, target, moved)
+    found = noted(spark, target)
+    assert found.count() == found.distinct().count() == 14
+    assert len([f for f in os.listdir(f"{target}/{NOTES}") if f.startswith("part-")]) < 4
+
+
+def test_single_hours_are_rolled_up_again(spark, tmp_path):
+    log, target, whole = str(tmp_path / "log"), str(tmp_path / "o"), str(tmp_path / "w")
+    rows = [row("2024-01-01 05:10:00"), row("2024-01-01 06:10:00"), row("2024-01-01 06:20:00", campaign_group_id=107)]
+    write_log(log_of(spark, *rows), log)
+    run_rollups(spark, log, target, DAY)
+    write_log(log_of(spark, row("2024-01-01 06:30:00"), row("2024-01-01 05:30:00")), log)
+    keys = spark.createDataFrame([("2024-01-01", 6, 5)], "dt string, hh int, cgid_mod int")
+    written = reroll(spark, log, target, keys.withColumn("dt", F.col("dt").cast("date")))
+    expected = run_rollups(spark, log, whole, DAY)
+    for name in written:
+        if name.startswith("campaign_log"):
+            a, b = (read_dataset(spark, w[name]) for w in (written, expected))
+            assert a.where("hh = 6").exceptAll(b).isEmpty() and b.where("hh = 6").exceptAll(a).isEmpty()
+            assert not b.where("hh = 5").exceptAll(a).isEmpty()
