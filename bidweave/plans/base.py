@@ -9,6 +9,7 @@ JSON parse, one shuffle of partially aggregated records.
 
 from __future__ import annotations
 
+from collections.abc import Iterable
 from typing import NamedTuple
 
 from pyspark.sql import DataFrame, SparkSession
@@ -76,10 +77,19 @@ def records(log: DataFrame) -> DataFrame:
 
 def aggregate_records(log: DataFrame, grain: str | Grain, numeric_max: bool = False) -> DataFrame:
     """Bid and term records of ``log`` aggregated at the finest keys."""
+    return merge_records(records(log), grain, numeric_max)
+
+
+def merge_records(
+    rows: DataFrame, grain: str | Grain, numeric_max: bool = False, keys: Iterable[str] = ()
+) -> DataFrame:
+    """Aggregated records of all rows, from single records or from those of several batches.
+
+    ``keys`` are kept besides those of the records.
+    """
     g = grain_of(grain)
-    rows = records(log)
-    keys = [*BID_KEYS, *[k for k in TERM_KEYS if k not in BID_KEYS], "is_bid"]
-    return rows.groupBy(*keys, *reversed(g.keys)).agg(
+    ids = [*BID_KEYS, *[k for k in TERM_KEYS if k not in BID_KEYS], "is_bid"]
+    return rows.groupBy(*ids, *reversed(g.keys), *keys).agg(
         *sums(VOLUMES + TERM_COUNTS),
         price_sum(rows, "price_sum"),
         *[max_text(F.col(c), numeric_max).alias(c) for c in PAYLOAD_COUNTERS + TERM_TEXTS],
