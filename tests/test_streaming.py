@@ -1,0 +1,144 @@
+"""Rollups of a stream of files: watermark, restarts, replays, late rows."""
+
+import os
+import shutil
+
+import pytest
+from helpers import log_of, row
+from pyspark.sql import functions as F
+
+from bidweave.fixtures.queries import read_dataset, write_log
+from bidweave.plans.jobs import run_rollups
+from bidweave.session import shared_dir
+from bidweave.sources.bid_log import read_bid_log
+from bidweave.sources.windows import Window
+from bidweave.streaming.rollups import StreamedRollups, stream_rollups
+
+DAY = Window.day("2024-01-01")
+PAYLOAD = {"terms": [{"id": "1", "spend": "2"}, {"id": "2", "spend": "9"}]}
+
+
+def at(*times, **values):
+    return [row(f"2024-01-01 {t}:00", payload=PAYLOAD, **values) for t in times]
+
+
+def contents(spark, written, kept="true"):
+    return {n: sorted(map(str, read_dataset(spark, p).where(kept).collect())) for n, p in written.items() if os.path.exists(p)}
+
+
+def expected(spark, tmp_path, log, kept, grains="minute"):
+    written = run_rollups(spark, log, str(tmp_path / "whole"), DAY, grains)
+    return contents(spark, written, kept)
+
+
+def test_hours_appear_once_the_watermark_has_passed(spark, tmp_path):
+    log, target = str(tmp_path / "log"), str(tmp_path / "o")
+    write_log(log_of(spark, *at("05:10", "05:59", "06:30", "07:10", "07:10")), log)
+    written = stream_rollups(spark, log, target, "minute", "30 minutes")
+    # 07:10 less 30 minutes is 06:40: only the hour of five is over.
+    assert contents(spark, written) == expected(spark, tmp_path, log, "hh = 5")
+    write_log(log_of(spark, *at("08:20", "06:55")), log)
+    written = stream_rollups(spark, log, target, "minute", "30 minutes")
+    # 06:55 is ahead of the watermark and joins the open minutes of its hour.
+    assert contents(spark, written) == expected(spark, tmp_path, log, "hh IN (5, 6)")
+    batches = StreamedRollups(spark, log, target).batches().collect()
+    assert [(b.batch, b.log_rows, b.late_rows) for b in sorted(batches)] == [(0, 5, 0), (1, 2, 0)]
+
+
+def test_nothing_changes_without_new_files(spark, tmp_path):
+    log, target = str(tmp_path / "log"), str(tmp_path / "o")
+    write_log(log_of(spark, *at("05:10", "06:30", "09:10")), log)
+    first = contents(spark, stream_rollups(spark, log, target, ["hour", "minute"], "1 hour"))
+    files = {f: os.path.getmtime(f) for f in _files(target)}
+    again = contents(spark, stream_rollups(spark, log, target, ["hour", "minute"], "1 hour"))
+    assert first == again and first
+    assert {f: os.path.getmtime(f) for f in _files(target)} == files
+
+
+def _files(root):
+    return [os.path.join(d, n) for d, _, names in os.walk(root) for n in names if n.endswith(".parquet") and "_stream" not in d]
+
+
+@pytest.mark.parametrize("query", ["route", "close"])
+def test_a_replayed_batch_changes_nothing(spark, tmp_path, query):
+    log, target = str(tmp_path / "log"), str(tmp_path / "o")
+    write_log(log_of(spark, *at("05:10", "06:30")), log)
+    stream_rollups(spark, log, target, "minute", "10 minutes")
+    write_log(log_of(spark, *at("06:25", "05:20", "08:30")), log)
+    stream = StreamedRollups(spark, log, target, "minute", "10 minutes")
+    stream.deal()
+    # The first query's last batch, or the second's, was done but not recorded as such.
+    if query == "close":
+        copy = str(tmp_path / "open")
+        shutil.copytree(f"{target}/_stream/open", copy)
+        stream.close()
+        shutil.copytree(copy, f"{target}/_stream/open", dirs_exist_ok=True)
+    commits = f"{target}/_stream/{query}/commits"
+    last = max(int(n) for n in os.listdir(commits) if n.isdigit())
+    for name in (str(last), f".{last}.crc"):
+        os.remove(f"{commits}/{name}")
+    written = stream_rollups(spark, log, target, "minute", "10 minutes")
+    assert contents(spark, written) == expected(spark, tmp_path, log, "hh IN (5, 6)")
+    assert sum(b.log_rows for b in stream.batches().collect()) == 5
+
+
+def test_a_batch_dealt_twice_counts_once(spark, tmp_path):
+    log, target = str(tmp_path / "log"), str(tmp_path / "o")
+    write_log(log_of(spark, *at("05:10", "06:30", "09:00")), log)
+    stream = StreamedRollups(spark, log, target, "minute", "1 hour")
+    rows = read_bid_log(spark, log)
+    for n in (0, 0):
+        stream.route(rows, n)
+    stream.close()
+    for n in (0, 1):
+        closed = stream._read("closed", stream.open_schema())
+        if n == 0:
+            before = closed.count()
+            stream.route(rows, 0)
+            stream.close()
+    assert closed.count() == before
+    assert contents(spark, stream.publish()) == expected(spark, tmp_path, log, "hh IN (5, 6)")
+
+
+def test_late_rows_are_counted_from_the_log(spark, tmp_path):
+    log, target = str(tmp_path / "log"), str(tmp_path / "o")
+    write_log(log_of(spark, *at("05:10", "06:30", "09:10")), log)
+    stream_rollups(spark, log, target, "minute", "10 minutes")
+    # Behind the watermark: of published hours, in their own partition, another hour's, or without a time.
+    write_log(log_of(spark, *at("05:20", campaign_group_id=107), *at("05:30")), log)
+    odd = log_of(spark, *at("06:40"), row(None, payload=PAYLOAD)).withColumns(
+        {"dt": F.lit("2024-01-01"), "hh": F.lit("07"), "cgid_mod": F.lit(9)}
+    )
+    odd.write.mode("append").partitionBy("dt", "hh", "cgid_mod").parquet(log)
+    # Late, but of an hour that is still open.
+    write_log(log_of(spark, *at("08:59")), log)
+    written = stream_rollups(spark, log, target, "minute", "10 minutes")
+    batches = sorted(StreamedRollups(spark, log, target).batches().collect())
+    assert (batches[-1].log_rows, batches[-1].late_rows) == (5, 5)
+    run_rollups(spark, log, str(tmp_path / "whole"), DAY, "minute")  # notes the moved rows
+    assert contents(spark, written) == expected(spark, tmp_path, log, "hh < 9")
+    again = stream_rollups(spark, log, target, "minute", "10 minutes")
+    assert contents(spark, again) == expected(spark, tmp_path, log, "hh < 9")
+
+
+def test_a_late_row_of_an_open_hour_waits_for_it(spark, tmp_path):
+    log, target = str(tmp_path / "log"), str(tmp_path / "o")
+    write_log(log_of(spark, *at("05:10", "05:50")), log)
+    stream_rollups(spark, log, target, "minute", "10 minutes")
+    write_log(log_of(spark, *at("05:20")), log)
+    written = stream_rollups(spark, log, target, "minute", "10 minutes")
+    assert contents(spark, written) == {}
+    write_log(log_of(spark, *at("07:00")), log)
+    written = stream_rollups(spark, log, target, "minute", "10 minutes")
+    assert contents(spark, written) == expected(spark, tmp_path, log, "hh = 5")
+
+
+def test_staged_tables_of_a_stream_are_removed(spark, tmp_path):
+    folder = f"{shared_dir(spark)}/bidweave"
+    os.makedirs(folder, exist_ok=True)
+    before = set(os.listdir(folder))
+    log, target = str(tmp_path / "log"), str(tmp_path / "o")
+    write_log(log_of(spark, *at("05:10", "09:10")), log)
+    stream_rollups(spark, log, target)
+    assert set(os.listdir(folder)) == before
+    assert not [n for n in os.listdir(f"{target}/_stream/open") if n.startswith("batch=")]
