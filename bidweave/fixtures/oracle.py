@@ -201,6 +201,16 @@ def datasets(grains: list[str], own_bucket: bool = True) -> str:
     return " UNION ALL BY NAME ".join(parts)
 
 
+def difference(left: str, right: str, grains: list[str]) -> str:
+    """Rows of which the runs over two choices of log rows have different numbers."""
+    sides = " UNION ALL BY NAME ".join(
+        f"SELECT *, {a} AS l, {b} AS r FROM ({log_ctes(LINEITEM_INPUTS, kept)} {datasets(grains)}) AS s"
+        for kept, a, b in ((left, 1, 0), (right, 0, 1))
+    )
+    return f"""SELECT * EXCLUDE (l, r), CAST(sum(l) AS BIGINT) AS left_copies, CAST(sum(r) AS BIGINT) AS right_copies
+        FROM ({sides}) AS both_sides GROUP BY ALL HAVING sum(l) <> sum(r)"""
+
+
 STORED = (
     "epoch, advertiser_id, campaign_group_id, campaign_id, flight_id, auction_id, has_price, "
     "price, threshold_failure_reasons, dt, hh, CAST(cgid_mod AS INTEGER) AS cgid_mod"
@@ -275,6 +285,15 @@ def build() -> dict[str, str]:
                    CAST(sum(price) AS DECIMAL(22,4)) AS price
             FROM log GROUP BY ALL""",
     }
+    both = ["hour", "minute"]
+    around = log_ctes(LINEITEM_INPUTS, TRAILING)
+    sql |= {
+        "incremental_rollups": f"{stored} {datasets(both)}",
+        "incremental_job": f"{stored} {datasets(['minute'])}",
+        "stream_rollups": f"{around} {datasets(['minute'])}",
+        "stream_late_rows": f"{around} {datasets(both)}",
+        "diff_rollups": difference(DAY, f"{DAY} AND NOT ({HOUR} = 1 AND user_id % 2 = 0)", both),
+    }
     for name, (kept, grains) in JOBS.items():
         bucket = name not in APPENDING
         sql[name] = f"{log_ctes(LINEITEM_INPUTS, kept)} {datasets(grains, bucket)}"

@@ -8,8 +8,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as contract
-from bidweave.fixtures import oracle
-from bidweave.fixtures import queries as catalog
+from bidweave.fixtures import catalog, oracle
 
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 TABLES = "events lineitem".split()
