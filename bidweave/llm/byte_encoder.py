@@ -25,7 +25,7 @@ import numpy as np
 import pyarrow as pa
 
 #: Distinct pieces that a worker remembers, and their ids.
-KEPT, KEPT_IDS = 1_200_000, 8_000_000
+KEPT, KEPT_IDS = 800_000, 8_000_000
 #: Distinct pieces encoded in one call.
 CALL = 1_000
 #: Bytes of text that are encoded together; a longer text is on its own.

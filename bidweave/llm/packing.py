@@ -20,7 +20,7 @@ from bidweave.llm.byte_encoder import byte_encoder, closed
 
 LENGTH = 2048
 #: Pieces of a group, on average.
-GROUP_PIECES = 4096
+GROUP_PIECES = 2048
 #: Room left in a sequence from which on a piece is cut to fill it.
 LEAST_CUT = 32
 
