@@ -1,9 +1,13 @@
-"""All queries of the library."""
+"""All queries of the library, and their SQL."""
 
 from __future__ import annotations
 
-from bidweave.fixtures import changing, queries
+from bidweave.fixtures import analysis, changing, oracle, queries
 
 
 def build() -> dict[str, queries.Query]:
-    return queries.build() | changing.build()
+    return queries.build() | changing.build() | analysis.build()
+
+
+def sql() -> dict[str, str]:
+    return oracle.build() | analysis.sql()

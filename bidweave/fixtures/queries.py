@@ -34,6 +34,7 @@ from bidweave.schema import (
 )
 from bidweave.session import new_shared_path, scratch_path
 from bidweave.sinks.archive import archive_aged_partitions
+from bidweave.sinks.log import append_log
 from bidweave.sinks.rollups import write_rollups
 from bidweave.sources.bid_log import missing_partitions, scan_bid_log
 from bidweave.sources.windows import Window
@@ -117,17 +118,7 @@ def q_operator(
 
 
 def write_log(log: DataFrame, path: str) -> str:
-    epoch = F.col("epoch")
-    keyed = log.withColumns(
-        {
-            "dt": event_day(epoch),
-            "hh": F.lpad(event_hour(epoch).cast("string"), 2, "0"),
-            "cgid_mod": bucket_of(F.col("campaign_group_id")),
-        }
-    )
-    balanced = keyed.hint("rebalance", *PARTITION_COLUMNS)
-    balanced.write.mode("append").partitionBy(*PARTITION_COLUMNS).parquet(path)
-    return path
+    return append_log(log, path)
 
 
 _stored: dict[tuple[str, str], str] = {}

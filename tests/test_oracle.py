@@ -11,11 +11,11 @@ import __spark_entry__ as contract
 from bidweave.fixtures import catalog, oracle
 
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
-TABLES = "events lineitem".split()
+TABLES = "events lineitem part".split()
 
 #: Those of this library's own catalog; other folders bring their own tests.
 QUERIES = {name: contract.queries()[name] for name in catalog.build()}
-SQL = {name: contract.oracle_sql()[name] for name in oracle.build()}
+SQL = {name: contract.oracle_sql()[name] for name in catalog.sql()}
 
 
 @pytest.fixture(scope="module")
