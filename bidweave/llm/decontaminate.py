@@ -4,12 +4,19 @@ Texts become token templates: numbers, names and units turn into typed
 placeholders, all other words are lower-cased. Windows of template tokens are
 hash-joined with those of the benchmark, and aligned windows count if they fill
 the placeholders consistently: one benchmark value, one value in the document. So a
-question is found again with other numbers or names in it. DataFrame
-operations only.
+question is found again with other numbers or names in it.
+
+Beside each window with names stands a plain one that takes them as lower-cased
+words, so a copy in other letters is found as well. Windows with too few words
+for a template are joined literally, numbers and all, and so are items shorter
+than a window. Scripts without spaces are read character by character.
+DataFrame operations only.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -25,18 +32,38 @@ UNITS = (
 ).split()
 _NAMES = r"(?<=[\p{Ll}\p{N},;:)] )(\p{Lu}\p{L}+)"
 _UNITS = r"(?i)(\d) ?((?:" + "|".join(UNITS) + r")(?![\p{L}\p{N}]))"
-_TOKENS = rf"[{NAME}{UNIT}]?\p{{L}}[\p{{L}}\p{{M}}]*|\d+(?:[.,:/]\d+)*"
+#: Scripts that are written without spaces.
+_DENSE = "".join(rf"\p{{Is{s}}}" for s in ("Han", "Hiragana", "Katakana", "Thai", "Lao", "Khmer", "Myanmar"))
+_TOKENS = (
+    rf"[{_DENSE}]|[{NAME}{UNIT}]?[\p{{L}}&&[^{_DENSE}]][[\p{{L}}\p{{M}}]&&[^{_DENSE}]]*|\d+(?:[.,:/]\d+)*"
+)
+#: Items of fewer tokens say too little to be looked for inside of a text.
+LEAST_TOKENS = 4
+
+ITEM = "item_id"
+RUN = ["doc_id", "text_id", ITEM, "shift"]
 
 
 def tokens(text: Column) -> Column:
     """Words and numbers in order; names and units carry a mark in front."""
-    marked = F.regexp_replace(F.coalesce(text, F.lit("")), _NAMES, NAME + "$1")
-    marked = F.regexp_replace(marked, _UNITS, "$1 " + UNIT + "$2")
+    flat = F.regexp_replace(F.coalesce(text, F.lit("")), r"[\s\p{Z}]+", " ")
+    # Units first: behind a number a capital letter does not make one a name.
+    marked = F.regexp_replace(flat, _UNITS, "$1 " + UNIT + "$2")
+    marked = F.regexp_replace(marked, _NAMES, NAME + "$1")
     return F.regexp_extract_all(marked, F.lit(_TOKENS), F.lit(0))
 
 
+def _is_number(token: Column) -> Column:
+    return (token >= F.lit("0")) & (token < F.lit(":"))
+
+
 def _is_slot(token: Column) -> Column:
-    return token.rlike(f"^[{NAME}{UNIT}0-9]")
+    """Numbers, names and units; the marks are below all other characters."""
+    return (token < F.lit("\u0003")) | _is_number(token)
+
+
+def _bare(token: Column) -> Column:
+    return F.xxhash64(F.lower(F.ltrim(token, F.lit(NAME + UNIT))))
 
 
 def _template(token: Column) -> Column:
@@ -44,78 +71,147 @@ def _template(token: Column) -> Column:
     return (
         F.when(token.startswith(NAME), F.lit(1))
         .when(token.startswith(UNIT), F.lit(2))
-        .when(token.rlike(r"^\d"), F.lit(3))
+        .when(_is_number(token), F.lit(3))
         .otherwise(F.xxhash64(F.lower(token)))
         .cast("long")
     )
 
 
-def template_windows(texts: DataFrame, key: str, width: int) -> DataFrame:
-    """(key, pos, window long, slots) of every window of ``width`` tokens.
+def _plain(token: Column) -> Column:
+    """Like a template token, but a name is its lower-cased word."""
+    return F.when(token.startswith(NAME), _bare(token)).otherwise(_template(token))
+
+
+TYPED, PLAIN, LITERAL = 0, 1, 2
+_WINDOW = "array<struct<kind:int,pos:int,window:bigint,slots:array<string>>>"
 
-    ``slots`` holds the placeholder values by their place in the window, and is
+
+def _kind_windows(kind: int, width: int, codes: str, values: str, keep) -> Column:
+    """Windows of one kind at the places that ``keep`` accepts."""
+    places = F.sequence(F.lit(0), F.size(codes) - width)
+    if keep is not None:
+        places = F.filter(places, keep)
+    return F.transform(
+        places,
+        lambda i: F.struct(
+            F.lit(kind).alias("kind"),
+            i.alias("pos"),
+            F.xxhash64(F.slice(codes, i + 1, width)).alias("window"),
+            F.slice(values, i + 1, width).alias("slots"),
+        ),
+    ).cast(_WINDOW)
+
+
+def template_windows(texts: DataFrame, keys: list[str], width: int, min_words: int) -> DataFrame:
+    """(keys, kind, pos, window, slots) of the windows of ``width`` tokens.
+
+    Typed windows hold at least ``min_words`` words beside the placeholders, and
+    so do plain ones, which stand where there are names. Places with more
+    numbers and units than that have a literal window. ``slots`` holds the placeholder values by their place in the window, and is
     null for a text without any.
     """
-    split = texts.select(key, tokens(F.col("text")).alias("tokens")).where(F.size("tokens") >= width)
+    split = texts.select(*keys, tokens(F.col("text")).alias("tokens")).where(F.size("tokens") >= width)
+    slot = F.exists("tokens", _is_slot)
+    name = F.exists("tokens", lambda t: t.startswith(NAME))
+    of = lambda code: F.transform("tokens", code)
     typed = split.select(
-        key,
-        F.transform("tokens", _template).alias("codes"),
+        *keys,
+        of(_template).alias("codes"),
+        F.when(name, of(_plain)).alias("plain"),
+        F.when(slot, of(lambda t: F.when(_is_slot(t), t))).alias("values"),
+        F.when(name, of(lambda t: F.when(_is_slot(t) & ~t.startswith(NAME), t))).alias("plain_values"),
+        F.when(slot, of(_bare)).alias("literal"),
+    )
+    most = width - min_words
+    filled = lambda values, i: F.size(F.filter(F.slice(values, i + 1, width), lambda v: v.isNotNull()))
+    dense = lambda i: filled(F.coalesce("plain_values", "values"), i) > most
+    some = F.size(F.filter("values", lambda v: v.isNotNull())) > most
+    named = lambda i: filled("values", i) > filled("plain_values", i)
+    parts = [
+        # The usual text has no window with many placeholders.
+        F.when(
+            some, _kind_windows(TYPED, width, "codes", "values", lambda i: filled("values", i) <= most)
+        ).otherwise(_kind_windows(TYPED, width, "codes", "values", None)),
         F.when(
-            F.exists("tokens", _is_slot), F.transform("tokens", lambda t: F.when(_is_slot(t), t))
-        ).alias("values"),
+            F.col("plain").isNotNull(),
+            _kind_windows(PLAIN, width, "plain", "plain_values", lambda i: named(i) & ~dense(i)),
+        ),
+        F.when(some, _kind_windows(LITERAL, width, "literal", "nothing", dense)),
+    ]
+    typed = typed.withColumn("nothing", F.lit(None).cast("array<string>"))
+    whole = F.concat(*[F.coalesce(p, F.array().cast(_WINDOW)) for p in parts])
+    return typed.select(*keys, F.inline(whole))
+
+
+def benchmark_windows(benchmark: DataFrame, width: int, min_words: int) -> DataFrame:
+    """Windows of the items of at least ``width`` tokens, with the number of places of each.
+
+    ``item_windows`` counts the places with a template, ``item_places`` all.
+    """
+    items = benchmark.where(F.col(ITEM).isNotNull()).select(ITEM, "text").distinct()
+    windows = template_windows(items, [ITEM], width, min_words).withColumnRenamed("slots", "item_slots")
+    totals = windows.groupBy(ITEM).agg(
+        F.count_distinct(F.when(F.col("kind") != LITERAL, F.col("pos"))).alias("item_windows"),
+        F.count_distinct("pos").alias("item_places"),
     )
-    places = F.sequence(F.lit(0), F.size("codes") - width)
+    return windows.withColumnsRenamed({"pos": "item_pos", "kind": "item_kind"}).join(totals, ITEM)
 
-    def window(i: Column) -> Column:
-        return F.struct(
-            i.alias("pos"),
-            F.xxhash64(F.slice("codes", i + 1, width)).alias("window"),
-            F.slice("values", i + 1, width).alias("slots"),
-        )
 
-    return typed.select(key, F.inline(F.transform(places, window)))
+def short_items(benchmark: DataFrame, width: int) -> DataFrame:
+    """(item_id, n, whole): items of fewer than ``width`` tokens, as the hash of their literal sequence."""
+    items = benchmark.where(F.col(ITEM).isNotNull()).select(ITEM, tokens(F.col("text")).alias("tokens"))
+    short = items.where(F.size("tokens").between(1, width - 1)).distinct()
+    return short.select(
+        ITEM, F.size("tokens").alias("n"), F.xxhash64(F.transform("tokens", _bare)).alias("whole")
+    )
 
 
-def benchmark_windows(benchmark: DataFrame, width: int, min_words: int) -> DataFrame:
-    """Windows of the benchmark that hold at least ``min_words`` words that are no
-    placeholders, with the number of such windows of each item."""
-    items = benchmark.where(F.col("item_id").isNotNull()).select("item_id", "text").distinct()
-    windows = template_windows(items, "item_id", width).withColumnRenamed("slots", "item_slots")
-    filled = F.size(F.filter("item_slots", lambda v: v.isNotNull()))
-    windows = windows.where(F.coalesce(filled, F.lit(0)) <= width - min_words)
-    totals = windows.groupBy("item_id").agg(F.count("*").alias("item_windows"))
-    return windows.withColumnRenamed("pos", "item_pos").join(totals, "item_id")
+def _sequence_hash(n: int) -> Callable[[Column], Column]:
+    return lambda i: F.xxhash64(F.slice("codes", i + 1, n))
 
 
-def _consistent(runs: DataFrame) -> DataFrame:
-    """A row for each window met of a run, without those whose placeholders conflict.
+def short_leaks(named: DataFrame, short: DataFrame) -> DataFrame:
+    """(doc_id, item_id, n_windows, share) of documents that hold a short item.
 
-    Of several document values for one item value the one at most places counts,
-    of equals the item's own. Windows with the item's own values always stay.
+    Items of at least ``LEAST_TOKENS`` tokens are held wherever their literal
+    sequence stands; shorter ones by texts that are nothing else.
     """
-    value = lambda p: F.struct(p["item"].alias("item"), p["doc"].alias("doc"))
-    runs = runs.withColumn("pairs", F.array_distinct(F.flatten(F.col("met.pairs"))))
-    runs = runs.withColumn("values", F.array_distinct(F.transform("pairs", value)))
-    conflict = F.size(F.array_distinct(F.col("values.item"))) < F.size("values")
-
-    def rank(v: Column) -> Column:
-        places = F.size(F.filter("pairs", lambda p: value(p) == v))
-        return F.struct(
-            places.alias("places"), (v["item"] == v["doc"]).alias("own"), v["doc"].alias("doc"), v["item"].alias("item")
-        )
+    # As many numbers as a window has tokens, at most.
+    lengths = sorted(r.n for r in short.select("n").distinct().collect())
+    split = named.select("doc_id", F.transform(tokens(F.col("text")), _bare).alias("codes"))
+    size, parts = F.size("codes"), []
+    for n in lengths:
+        if n < LEAST_TOKENS:
+            parts.append(F.when(size == n, F.array(F.xxhash64("codes"))))
+        else:
+            places = F.sequence(F.lit(0), size - n)
+            parts.append(F.when(size >= n, F.transform(places, _sequence_hash(n))))
+    none = F.array().cast("array<bigint>")
+    sequences = F.array_distinct(F.concat(none, *[F.coalesce(p, none) for p in parts]))
+    met = split.select("doc_id", F.explode(sequences).alias("whole")).join(short, "whole")
+    return met.select("doc_id", ITEM, F.lit(1).cast("bigint").alias("n_windows"), F.lit(1.0).alias("share")).distinct()
+
+
+def _consistent(met: DataFrame) -> DataFrame:
+    """The windows met, without those whose placeholders conflict.
 
-    runs = runs.withColumn("ranked", F.when(conflict, F.transform("values", rank)))
-    better = lambda r: F.exists("ranked", lambda o: (o["item"] == r["item"]) & (o > r))
-    kept = F.transform(F.filter("ranked", lambda r: ~better(r)), value)
-    rows = runs.withColumn("kept", kept).select(
-        "doc_id", "item_id", "item_windows", "kept", F.explode("met").alias("met")
+    Of several document values for one item value in a run the one at most
+    places counts, of equals the item's own. Windows with the item's own values
+    always stay.
+    """
+    pairs = met.select(*RUN, "item_pos", "item_kind", F.explode("pairs").alias("p")).select(
+        *RUN, "item_pos", "item_kind", "p.*"
     )
-    pairs = F.col("met.pairs")
-    return rows.where(
-        F.col("kept").isNull()
-        | F.forall(pairs, lambda p: p["item"] == p["doc"])
-        | F.forall(pairs, lambda p: F.array_contains("kept", value(p)))
+    votes = pairs.select(*RUN, "item", "doc", "place").distinct().groupBy(*RUN, "item", "doc").agg(
+        F.count("*").alias("places")
     )
+    best = F.max(F.struct("places", (F.col("item") == F.col("doc")).alias("own"), "doc"))
+    kept = votes.groupBy(*RUN, "item").agg(best["doc"].alias("kept"))
+    other = F.max((F.col("doc") != F.col("kept")).cast("int"))
+    edited = F.max((F.col("doc") != F.col("item")).cast("int"))
+    judged = pairs.join(kept, [*RUN, "item"]).groupBy(*RUN, "item_pos", "item_kind")
+    conflict = judged.agg((other * edited).alias("bad")).where("bad = 1").drop("bad")
+    return met.join(conflict, [*RUN, "item_pos", "item_kind"], "left_anti")
 
 
 def leaks(
@@ -128,39 +224,57 @@ def leaks(
 ) -> DataFrame:
     """(doc_id, item_id, n_windows, share) of documents that hold a benchmark item.
 
-    An item counts as held if at least ``min_share`` of its windows, or at
-    least ``min_windows`` of them, are in the document with consistent
-    placeholders; only the windows in conflict are left out. Items of fewer than ``width`` tokens, or made of placeholders
-    only, have no window and are never reported. Null and empty texts hold
-    nothing; rows without an id are left out; repeated rows are reported once.
-    Other columns are ignored.
+    An item counts as held if at least ``min_share`` of its places, or of those
+    with a template, or at least ``min_windows`` places are in the document
+    with consistent placeholders; only the windows in conflict are left out.
+    Items of fewer than ``width`` tokens are held if their literal sequence is
+    found (below ``LEAST_TOKENS`` tokens: as the whole text). Items without
+    any token are held by nobody. Null and empty texts hold nothing; rows
+    without an id are left out; repeated rows are reported once. Texts that
+    share a doc_id are looked at each on its own, and their places counted
+    together. Other columns are ignored.
     """
     wanted = staged(benchmark_windows(benchmark, width, min_words), "benchmark-windows")
-    named = docs.where(F.col("doc_id").isNotNull()).select("doc_id", "text")
+    short = staged(short_items(benchmark, width), "benchmark-short")
+    named = docs.where(F.col("doc_id").isNotNull()).select(
+        "doc_id", F.xxhash64("text").alias("text_id"), "text"
+    )
     # The benchmark is staged, so Spark knows its size and broadcasts it only if small.
-    met = template_windows(named, "doc_id", width).join(wanted, "window")
-    aligned = met.withColumn("shift", F.col("pos") - F.col("item_pos"))
+    met = template_windows(named, ["doc_id", "text_id"], width, min_words).join(wanted, "window")
     both = F.transform(
         F.arrays_zip(F.col("item_slots").alias("item"), F.col("slots").alias("doc")),
         lambda p, i: F.struct(
             p["item"].alias("item"), p["doc"].alias("doc"), (F.col("item_pos") + i).alias("place")
         ),
     )
-    filled = F.filter(both, lambda p: p["item"].isNotNull() & p["doc"].isNotNull())
-    met = F.struct("item_pos", F.coalesce(filled, F.array()).alias("pairs"))
-    runs = aligned.groupBy("doc_id", "item_id", "item_windows", "shift").agg(
-        F.collect_set(met).alias("met")
-    )
-    consistent = _consistent(runs)
-    return (
-        consistent.select("doc_id", "item_id", "item_windows", F.col("met.item_pos").alias("place"))
-        .distinct()
-        .groupBy("doc_id", "item_id", "item_windows")
-        .agg(F.count("*").alias("n_windows"))
-        .withColumn("share", F.col("n_windows") / F.col("item_windows"))
+    pairs = F.filter(both, lambda p: p["item"].isNotNull() & p["doc"].isNotNull())
+    met = met.select(
+        "doc_id",
+        "text_id",
+        ITEM,
+        (F.col("pos") - F.col("item_pos")).alias("shift"),
+        "item_pos",
+        "item_kind",
+        "item_windows",
+        "item_places",
+        F.coalesce(pairs, F.array()).alias("pairs"),
+    ).distinct()
+    met = staged(met, "windows-met")
+    places = _consistent(met).groupBy("doc_id", ITEM, "item_windows", "item_places")
+    templates = F.count_distinct(F.when(F.col("item_kind") != LITERAL, F.col("item_pos")))
+    found = places.agg(F.count_distinct("item_pos").alias("n_windows"), templates.alias("n_templates"))
+    shares = [
+        F.col("n_windows") / F.col("item_places"),
+        F.when(F.col("item_windows") > 0, F.col("n_templates") / F.col("item_windows")),
+    ]
+    held = (
+        found.withColumn("share", F.greatest(*shares))
         .where((F.col("share") >= min_share) | (F.col("n_windows") >= min_windows))
-        .select("doc_id", "item_id", "n_windows", "share")
+        .select("doc_id", ITEM, "n_windows", "share")
     )
+    if short.isEmpty():
+        return held
+    return held.unionAll(short_leaks(named, short))
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
@@ -177,5 +291,6 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
 
 def without_leaks(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
     """``docs`` without the documents that hold a benchmark item; all columns stay."""
-    found = contaminated(docs, benchmark, **options).select(F.col("doc_id").alias("__leak"))
+    # Staged, so that a short list is seen to be short and broadcast: the texts are not shuffled.
+    found = staged(leaks(docs, benchmark, **options).select(F.col("doc_id").alias("__leak")).distinct(), "leaks")
     return docs.join(found, F.col("doc_id") == F.col("__leak"), "left_anti")
