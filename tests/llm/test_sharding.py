@@ -34,12 +34,48 @@ def test_cuts_reach_the_smallest_capacity(spark, monkeypatch, seed, n, hot):
     sizes = {k: rng.randint(8, 900) for k in keys}
     sizes[keys[333]] += hot
     rows = [(k, 1) for k in keys] + [(k, s - 1) for k, s in sizes.items()]
-    starts = minimax_cuts(spark.createDataFrame(rows, "key bigint, size bigint"), n)
+    starts, homes = minimax_cuts(spark.createDataFrame(rows, "key bigint, size bigint"), n)
+    light = [k for k in keys if k not in homes]
+    assert list(homes) == ([keys[333]] if hot else [])
+    shards = {i: 0 for i in range(n)} | {shard: sizes[k] for k, shard in homes.items()}
+    for k in light:
+        shards[[shard for start, shard in starts if k >= start][-1]] += sizes[k]
+    if not hot or hot > sum(sizes[k] for k in light):
+        assert max(shards[i] for i in shards if i not in homes.values()) == best_capacity(
+            [sizes[k] for k in light], n - len(homes)
+        )
+    others = [s for i, s in shards.items() if i not in homes.values()]
+    assert max(others) - min(others) <= 900 and max(shards.values()) <= max(hot + 900, max(others))
+
+
+@pytest.mark.parametrize("hot", [[0.33], [0.9], [0.3, 0.3], [0.04] * 5, [0.2, 0.05, 0.05]])
+def test_beside_heavy_groups_the_others_are_near_equal(spark, hot):
+    rng = random.Random(len(hot))
+    sizes = [rng.randint(8, 400) for _ in range(3000)]
+    total = sum(sizes) / (1 - sum(hot))
+    sizes += [int(total * h) for h in hot]
+    texts = [f"{i:08d}" + "x" * (s - 16) for i, s in enumerate(sizes)]
+    docs = spark.createDataFrame([(i, t, 0, 0) for i, t in enumerate(texts)], SCHEMA).repartition(4)
     shards = defaultdict(int)
-    for k in keys:
-        shards[sum(k >= s for s in starts)] += sizes[k]
-    assert len(starts) < n
-    assert max(shards.values()) == best_capacity([sizes[k] for k in keys], n)
+    heaviest = defaultdict(int)
+    for r in shard_documents(docs, 24).collect():
+        shards[r.shard] += r.size
+        heaviest[r.shard] = max(heaviest[r.shard], r.size)
+    assert set(shards) == set(range(24))
+    share = sum(shards.values()) / 24
+    others = [s for n, s in shards.items() if heaviest[n] <= share]
+    # The groups that no even share can hold are alone; the others are one small group apart.
+    assert len(others) == 24 - sum(h > 1 / 24 for h in hot) and max(others) - min(others) <= 400
+    assert all(s == heaviest[n] for n, s in shards.items() if heaviest[n] > share)
+
+
+def test_few_large_groups_use_all_shards(spark):
+    rows = [(i, str(i) * 500, 0, 0) for i in range(10, 50)]
+    found = shard_documents(spark.createDataFrame(rows, SCHEMA), 24).collect()
+    counts = defaultdict(int)
+    for r in found:
+        counts[r.shard] += 1
+    assert set(counts) == set(range(24)) and max(counts.values()) == 2
 
 
 def test_rows_slots_and_groups(spark):
