@@ -2,8 +2,8 @@
 
 Texts are folded first: compatibility forms, homoglyphs and digit substitutions
 become plain letters. The lexicon's words and word beginnings, each with a
-weight, are learned from labelled documents; phrases of an exception list hide
-the entries inside them. The weights found are set against the text's length
+weight, are learned from labelled documents; phrases of an exception list, in
+part learned from the clean ones, hide the entries inside them. The weights found are set against the text's length
 and turned into a probability by a logistic curve fitted to the same labels.
 """
 
@@ -22,7 +22,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from bidweave.llm.common import staged
+from bidweave.llm.common import smallest_hashes, staged
 
 #: Characters that stand in for Latin letters.
 CYRILLIC = dict(zip("авекмнорстухіѕјԁ", "abekmhopctyxisjd", strict=True))
@@ -32,6 +32,11 @@ DIGITS = dict(zip("013457@$", "oieastas", strict=True))
 _FOLD = str.maketrans({**CYRILLIC, **GREEK, **DIGITS, "l": "i", "ı": "i"})
 _WORD = re.compile(r"[^\W\d_]+")
 PREFIXES = (4, 5, 6)
+#: Toxic documents of the sample that must hold an entry, however large the sample is.
+SUPPORT = 5
+#: Odds, as a logarithm, and clean documents for each toxic one that an entry must reach.
+ODDS, CLEAN_SHARE = 3.0, 0.02
+#: Phrases known to be harmless; others are learned.
 EXCEPTIONS = ("trash can", "trash bin", "clown fish", "stupid simple")
 
 
@@ -146,7 +151,7 @@ def pick_lexicon(counts: list[tuple[str, int, int]], toxic: int, clean: int) ->
     scored = []
     for term, a, b in counts:
         odds = np.log((a + 0.5) / (toxic - a + 0.5)) - np.log((b + 0.5) / (clean - b + 0.5))
-        if odds >= 3 and b <= 0.02 * a:
+        if odds >= ODDS and b <= CLEAN_SHARE * a:
             scored.append((a, term, float(odds)))
     # Most documents first; of equals the longest, so that a beginning is no wider than need be.
     scored.sort(key=lambda s: (-s[0], -len(s[1]), s[1]))
@@ -177,15 +182,30 @@ def covering(lexicon: dict[str, float], found: list[list[str]]) -> dict[str, flo
     kept, seen = {}, set()
     for term in order:
         new = len(holders[term] - seen)
-        if new >= max(2, 0.01 * len(holders[term])):
+        if new >= 2:
             kept[term] = lexicon[term]
             seen |= holders[term]
     return kept
 
 
+def phrases(folded: str, lexicon: dict[str, float]) -> set[str]:
+    """Pairs of neighbouring words of which one is an entry."""
+    words = _WORD.findall(folded)
+    marked = [bool(lexicon.keys() & ({w + "$"} | {w[:n] for n in PREFIXES if len(w) >= n})) for w in words]
+    pairs = zip(words, words[1:], marked, marked[1:])
+    return {f"{a} {b}" for a, b, x, y in pairs if x or y}
+
+
+def pick_exceptions(clean: list[list[str]], toxic: list[list[str]]) -> list[str]:
+    """Phrases around entries that at least ``SUPPORT`` clean documents have and no toxic one."""
+    seen = Counter(p for found in clean for p in found)
+    seen_toxic = {p for found in toxic for p in found}
+    return sorted(p for p, n in seen.items() if n >= SUPPORT and p not in seen_toxic)
+
+
 def held_out(doc_id: Column) -> Column:
-    """Rows that no label may be learned from."""
-    return F.crc32(doc_id.cast("string")) % 5 == 0
+    """Rows that no label may be learned from; those without doc_id have none and are not held out."""
+    return F.coalesce(F.crc32(doc_id.cast("string")) % 5 == 0, F.lit(False))
 
 
 def train(
@@ -200,15 +220,17 @@ def train(
     Learns from the ``toxic_rows`` and ``clean_rows`` labelled documents with
     the smallest hashes of their id, a bound that keeps training small on any
     corpus. Several labels of one document count as toxic if any does; null
-    labels and texts are left out. Without a toxic label the model scores all
-    texts near 0.
+    labels and texts are left out. An entry needs ``SUPPORT`` toxic documents,
+    however many there are, odds and a small share of clean ones. Without a
+    toxic label the model scores all texts near 0.
     """
     known = labels.where(F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
     known = known.groupBy(F.col("doc_id").alias("id")).agg(F.max("toxic").alias("toxic"))
-    order = F.xxhash64("id")
-    toxic = known.where("toxic = 1").orderBy(order, "id").limit(toxic_rows)
-    clean = known.where("toxic = 0").orderBy(order, "id").limit(clean_rows)
-    picked = docs.select("doc_id", "text").join(toxic.unionAll(clean), F.col("doc_id") == F.col("id"))
+    toxic = smallest_hashes(known.where("toxic = 1"), ["id"], toxic_rows)
+    clean = smallest_hashes(known.where("toxic = 0"), ["id"], clean_rows)
+    # Staged, so that Spark sees how small it is and broadcasts it: the texts are not shuffled.
+    ids = staged(toxic.unionAll(clean), "toxicity-ids")
+    picked = docs.select("doc_id", "text").join(ids, F.col("doc_id") == F.col("id"))
     picked = picked.where(F.col("text").isNotNull()).select("text", "toxic").distinct()
     sample = staged(picked, "toxicity-sample")
 
@@ -222,7 +244,8 @@ def train(
 
     totals = {r.toxic: r.n for r in sample.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
     n_toxic, n_clean = totals.get(1, 0), totals.get(0, 0)
-    least = max(3, n_toxic // 100)
+    a, b = F.col("a"), F.col("b")
+    odds = F.log((a + 0.5) / (n_toxic - a + 0.5)) - F.log((b + 0.5) / (n_clean - b + 0.5))
     counted = (
         sample.mapInPandas(count, "term string, toxic int, n bigint")
         .groupBy("term")
@@ -230,9 +253,10 @@ def train(
             F.sum(F.expr("IF(toxic = 1, n, 0)")).alias("a"),
             F.sum(F.expr("IF(toxic = 0, n, 0)")).alias("b"),
         )
-        .where((F.col("a") >= least) & (F.col("b") <= 0.02 * F.col("a")))
+        .where((a >= SUPPORT) & (b <= CLEAN_SHARE * a))
+        .where(odds >= ODDS - 1e-6)
     )
-    # Bounded by the sample: each toxic document has few terms that reach the least count.
+    # Bounded by the sample, and by tests that words of chance do not pass.
     lexicon = pick_lexicon([tuple(r) for r in counted.collect()], n_toxic, n_clean)
 
     def look_up(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -242,6 +266,15 @@ def train(
 
     rows = sample.where("toxic = 1").mapInPandas(look_up, "found array<string>").collect()
     lexicon = covering(lexicon, [r.found for r in rows])
+
+    def around(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            found = [sorted(phrases(fold(t), lexicon)) for t in batch["text"]]
+            yield pd.DataFrame({"toxic": batch["toxic"], "found": found})
+
+    rows = sample.mapInPandas(around, "toxic int, found array<string>").where(F.size("found") > 0).collect()
+    learned = pick_exceptions([r.found for r in rows if not r.toxic], [r.found for r in rows if r.toxic])
+    exceptions = (*exceptions, *(p for p in learned if p not in exceptions))
     key = Model(lexicon, exceptions=exceptions).key()
 
     def measure(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

@@ -93,6 +93,59 @@ def test_learns_from_labels_that_are_not_held_out(spark):
 def test_held_out(spark):
     rows = spark.range(50).select("id", held_out(F.col("id")).alias("out")).collect()
     assert all(r.out == (zlib.crc32(str(r.id).encode()) % 5 == 0) for r in rows)
+    none = spark.sql("SELECT CAST(NULL AS BIGINT) AS id").select(held_out(F.col("id")).alias("out"))
+    assert none.first().out is False
+
+
+def test_rare_markers_are_learned_on_a_large_sample(spark):
+    """150 marker words, each in about 21 of 3,200 toxic documents and in no clean one."""
+    rng = random.Random(11)
+    words = ["".join(rng.choices("abcdefghijklmnop", k=7)) for _ in range(3000)]
+    markers = ["".join(rng.choices("qrstuvwxyz", k=8)) for _ in range(150)]
+    rows, labels = [], []
+    for i in range(12_000):
+        text = rng.choices(words, k=12)
+        if bad := i % 3 == 0:
+            text[rng.randrange(12)] = markers[rng.randrange(150)]
+        rows.append((i, " ".join(text), "s", "t", "src"))
+        labels.append((i, 0, int(bad)))
+    docs = spark.createDataFrame(rows, DOCS).repartition(4)
+    model = train(docs, spark.createDataFrame(labels, "doc_id bigint, quality int, toxic int"))
+    found = with_toxicity(docs, model).select("doc_id", (F.col("score") >= 0.5).alias("bad")).collect()
+    caught = sum(r.bad for r in found if r.doc_id % 3 == 0)
+    assert caught >= 0.99 * 4000 and sum(r.bad for r in found if r.doc_id % 3) <= 0.01 * 8000
+
+
+def test_harmless_phrases_are_learned_from_clean_documents(spark):
+    rng = random.Random(12)
+    words = [f"{a}{b}" for a in "bcdfg" for b in ("alo", "emu", "ira", "opa")]
+    rows, labels = [], []
+    for i in range(3000):
+        text = " ".join(rng.choices(words, k=20))
+        if i % 3 == 0:
+            text += " zzgrub" + rng.choice(words)[:0]
+        elif i % 200 == 1:
+            text += " garden zzgrub"
+        rows.append((i, text, "s", "t", "src"))
+        labels.append((i, 0, int(i % 3 == 0)))
+    docs = spark.createDataFrame(rows, DOCS)
+    model = train(docs, spark.createDataFrame(labels, "doc_id bigint, quality int, toxic int"))
+    assert any("garden zzgrub" == p for p in map(fold, model.exceptions))
+    probe = spark.createDataFrame([(1, "balo zzgrub", "", "", ""), (2, "balo garden zzgrub", "", "", "")], DOCS)
+    bad = {r.doc_id: r.score >= 0.5 for r in with_toxicity(probe, model).collect()}
+    assert bad == {1: True, 2: False}
+
+
+def test_the_sample_is_joined_without_a_shuffle_of_texts(spark, monkeypatch):
+    from bidweave.llm import toxicity
+
+    seen = []
+    keep = toxicity.staged
+    monkeypatch.setattr(toxicity, "staged", lambda df, label: seen.append(df) or keep(df, label))
+    rows, labels = corpus(200)
+    train(spark.createDataFrame(rows, DOCS), spark.createDataFrame(labels, "doc_id bigint, quality int, toxic int"))
+    plan = seen[1]._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" not in plan and "BroadcastHashJoin" in plan
 
 
 def test_empty_tables(spark):
