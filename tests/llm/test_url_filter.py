@@ -1,10 +1,16 @@
 """URL rules against a plain version, trees by held-out accuracy."""
 
+import os
 import random
 import re
 
+import pytest
+from pyspark.sql import functions as F
+
 from bidweave.llm.queries import URL_RULES
-from bidweave.llm.url_filter import judge, labelled_by_rules, lexical, parse_rules, train
+from bidweave.llm.url_filter import host_and_path, judge, labelled_by_rules, lexical, parse_rules, train
+
+TABLES = "/root/testdata/sf0.1"
 
 SCHEMA = "page_id bigint, url string, host string, rule string, label string, features string"
 
@@ -63,6 +69,32 @@ def test_trees_learn(spark):
     assert right >= 0.97 * len(verdicts)
 
 
+def test_verdicts_for_hosts_that_were_not_labelled(spark):
+    """Accuracy on labelled hosts that the trees have not seen, and on those of one suffix."""
+    if not os.path.isdir(TABLES):
+        pytest.skip("no table")
+    urls = spark.read.parquet(f"{TABLES}/pages.parquet").select("page_id", "url")
+    rules = parse_rules(URL_RULES)
+    labelled = labelled_by_rules(urls, rules).withColumn("host", host_and_path(F.col("url"))[0])
+    out = F.pmod(F.xxhash64("host"), F.lit(4)) == 0
+    model = train(labelled.where(~out))
+    test = labelled.where(out).withColumn("page_id", F.monotonically_increasing_id()).persist()
+    found = judge(test, [], model).join(test.select("page_id", "label"), "page_id")
+    right = found.agg(F.avg(((F.col("verdict") == "block") == (F.col("label") == 1)).cast("int"))).first()[0]
+    most = max(test.agg(F.avg("label")).first()[0], 1 - test.agg(F.avg("label")).first()[0])
+    assert test.count() > 50 and right >= 0.8 and right >= most
+
+
+def test_own_labels_are_not_among_a_urls_statistics(spark):
+    # Each host has one url, so nothing but its own label could tell its verdict.
+    rng = random.Random(6)
+    rows = [(f"http://{''.join(rng.choices('abcdefgh', k=9))}.org/x", float(i % 2)) for i in range(600)]
+    model = train(spark.createDataFrame(rows, "url string, label double"), rounds=5)
+    test = spark.createDataFrame([(i, u) for i, (u, _) in enumerate(rows)], "page_id int, url string")
+    scores = [r.block_score for r in judge(test, [], model).collect()]
+    assert sum(0.2 < s < 0.8 for s in scores) > 0.5 * len(scores)
+
+
 def test_entropy_and_counts(spark):
     frame = spark.createDataFrame([("http://a-b.c.d/e//f/?x=1&y=2#z", "a-b.c.d", "/e//f/")], "url string, host string, path string")
     r = lexical(frame).first()
