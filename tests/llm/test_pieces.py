@@ -1,6 +1,8 @@
 """Encoding, decoding and counting against the sentencepiece library and each other."""
 
+import os
 import random
+import time
 import zlib
 
 import numpy as np
@@ -8,9 +10,17 @@ import public_tokenizers
 import pytest
 import sentencepiece
 
-from bidweave.llm.pieces import pretokens, vocabulary
-from bidweave.llm.sentencepiece_codec import Encoder, decode, decode_documents, encode_documents
-from bidweave.llm.token_counts import count_tokens, terminal_counts, token_totals
+from bidweave.llm.pieces import Chunks, pretokens, vocabulary
+from bidweave.llm import sentencepiece_codec
+from bidweave.llm.sentencepiece_codec import (
+    Encoder,
+    decode,
+    decode_documents,
+    encode_documents,
+    encode_words,
+    long_segment,
+)
+from bidweave.llm.token_counts import count_tokens, terminal_counts, token_totals, word_counts
 
 PATH = public_tokenizers.path("piece_bpe_32k.model")
 TEXTS = [
@@ -64,6 +74,63 @@ def plain_ids(text):
     return ids
 
 
+def long_texts():
+    rng = random.Random(7)
+    base64 = "".join(rng.choices("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/", k=3000))
+    chinese = "".join(rng.choices("的一是在不了有和人这中大为上个国我以要他時来用们生到作地于出就分对成会可主发年动同工也能下过", k=3000))
+    minified = ";".join(f"var {a}=function({b}){{return {b}.length>{i}}}".replace(" ", "") for i, (a, b) in enumerate(zip(base64[:150], base64[150:])))
+    runs = ["=" * 2500, "abc" + "=" * 1700 + "de" + "-" * 900, "ab" * 1500, "a" * 2047, "e" * 64, "e" * 65, " " * 1800 + "x"]
+    return [base64, chinese, minified, *runs, "\u2603" * 500, "\U0001f600é" * 700, "thetion" * 500, "ha" * 300 + "日本" * 400]
+
+
+def test_long_runs_have_the_ids_of_the_plain_search():
+    texts = long_texts()
+    coded = [np.frombuffer(c, np.int32).tolist() for c in Encoder(PATH)(texts)]
+    for text, ids in zip(texts, coded, strict=True):
+        assert ids == plain_ids(text), text[:20]
+    words = [w for t in texts for w in pretokens(t)]
+    assert word_counts(set(words), vocabulary(PATH)) == {
+        w: len(c) // 4 for w, c in encode_words(set(words), vocabulary(PATH)).items()
+    }
+
+
+def test_a_chunk_that_does_not_fit_is_scored_again(monkeypatch):
+    calls = []
+    score = sentencepiece_codec.lattice
+    monkeypatch.setattr(
+        sentencepiece_codec, "lattice", lambda p, v, before=None: calls.append(before) or score(p, v, before)
+    )
+    vocab = vocabulary(PATH)
+    # Chunks that start too late to find the pace of the whole.
+    short = lambda text, v: Chunks([text[max(0, a - v.longest) : a + 50] for a in range(0, len(text), 50)], 50, v.longest)
+    monkeypatch.setattr(sentencepiece_codec, "chunked", short)
+    for text in (*long_texts()[:1], "x" + "ha" * 700, "e" * 1303, "=" * 1111, "thetion" * 99, "ing" * 333):
+        assert np.frombuffer(long_segment(text, vocab), np.int32).tolist() == plain_segment(text)
+    assert any(before is not None for before in calls)
+
+
+def plain_segment(text):
+    """Ids of a text that no space begins."""
+    ids = plain_ids("\x01" + text)
+    return ids[len(plain_ids("\x01")) :]
+
+
+@pytest.mark.skipif("SLOW" not in os.environ and os.cpu_count() < 4, reason="a slow machine")
+def test_text_without_spaces_costs_about_as_much_as_prose():
+    rng = random.Random(9)
+    words = ["".join(rng.choices("etaoinshrdlu", k=rng.randint(2, 9))) for _ in range(200_000)]
+    prose = " ".join(words)
+    base64 = "".join(rng.choices("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/", k=len(prose)))
+    chinese = "".join(rng.choices([chr(c) for c in range(0x4E00, 0x5E00)], k=len(prose) // 3))
+    took = {}
+    for name, text in {"prose": prose, "base64": base64, "chinese": chinese}.items():
+        encoder, start = Encoder(PATH), time.process_time()
+        (ids,) = encoder([text])
+        took[name] = (time.process_time() - start) / len(text.encode())
+        assert decode(np.frombuffer(ids, np.int32), encoder.vocab) == text
+    assert took["base64"] <= 5 * took["prose"] and took["chinese"] <= 5 * took["prose"]
+
+
 def test_same_ids_as_plain_search():
     texts = TEXTS + random_texts(300)
     coded = [np.frombuffer(c, np.int32).tolist() for c in Encoder(PATH)(texts)]
