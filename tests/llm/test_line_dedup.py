@@ -5,7 +5,7 @@ from collections import defaultdict
 
 import pytest
 
-from bidweave.llm.line_dedup import dedup_lines
+from bidweave.llm.line_dedup import LineRuns, dedup_lines, without_known
 
 SCHEMA = "doc_id bigint, text string, h1 string, n_docs int, keeper int, kept_text string"
 LONG = "this line has clearly more than forty characters in it"
@@ -58,3 +58,71 @@ def test_empty_table(spark):
     assert dedup_lines(spark.createDataFrame([], SCHEMA)).count() == 0
     nameless = spark.createDataFrame([(None, "a")], "doc_id bigint, text string")
     assert dedup_lines(nameless).first().kept_text == "a"
+
+
+KEYS = "h1 bigint, h2 bigint, doc_id bigint"
+
+
+def counted(runs):
+    found = {(r.h1, r.h2): (r.n_docs, r.keeper) for r in runs.counted().collect()}
+    runs.close()
+    return found
+
+
+def batches_of_keys():
+    return [[(k, k * 7, d) for d in range(10 * b, 10 * b + 4) for k in range(b, b + 9 - d % 3)] for b in (3, 0, 5, 1, 2)]
+
+
+def test_two_sessions_go_on_as_one(spark, tmp_path):
+    batches = [spark.createDataFrame(b, KEYS) for b in batches_of_keys()]
+    one = LineRuns(spark, str(tmp_path / "one"), fanout=2)
+    for n, keys in enumerate(batches):
+        assert one.add(keys, f"b{n}")
+    for n, keys in enumerate(batches):
+        session = spark.newSession()
+        runs = LineRuns(session, str(tmp_path / "two"), fanout=2)
+        again = session.createDataFrame(keys.collect(), KEYS)
+        assert runs.add(again, f"b{n}") and not runs.add(again, f"b{n}")
+        runs.close()
+    want, holders = {}, {}
+    for rows in batches_of_keys():
+        mine = defaultdict(set)
+        for a, b, d in rows:
+            mine[a, b].add(d)
+        for key, docs in mine.items():
+            holders.setdefault(key, max(docs))
+            want[key] = want.get(key, 0) + len(docs)
+    want = {key: (n, holders[key]) for key, n in want.items()}
+    assert counted(one) == want
+    assert counted(LineRuns(spark.newSession(), str(tmp_path / "two"))) == want
+    assert max(one.levels().values()) >= 1 and len(one.levels()) <= 3
+
+
+def test_the_first_batch_to_bring_a_key_keeps_it(spark, tmp_path):
+    runs = LineRuns(spark, str(tmp_path / "runs"))
+    runs.add(spark.createDataFrame([(1, 1, 3), (1, 1, 2), (2, 2, 3)], KEYS), "a")
+    runs.add(spark.createDataFrame([(1, 1, 90), (3, 3, 90), (3, 3, 80)], KEYS), "b")
+    assert counted(runs) == {(1, 1): (3, 3), (2, 2): (1, 3), (3, 3): (2, 90)}
+
+
+def test_runs_are_not_shuffled_for_the_anti_join(spark, tmp_path):
+    runs = LineRuns(spark, str(tmp_path / "runs"), fanout=9)
+    for n in range(3):
+        runs.add(spark.range(n * 100, n * 100 + 200).selectExpr("id AS h1", "id AS h2", "id AS doc_id"), f"b{n}")
+    batch = spark.range(0, 1000).selectExpr("id AS h1", "id AS h2", "1L AS n_docs", "id AS keeper")
+    fresh = without_known(batch, runs.runs())
+    plan = fresh._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1 and plan.count("SortMergeJoin") == 3
+    assert sorted(r.h1 for r in fresh.collect()) == list(range(400, 1000))
+    runs.close()
+
+
+def test_a_batch_that_failed_is_not_there(spark, tmp_path, monkeypatch):
+    runs = LineRuns(spark, str(tmp_path / "runs"))
+    runs.add(spark.createDataFrame([(1, 1, 3)], KEYS), "a")
+    with monkeypatch.context() as broken:
+        broken.setattr(runs, "_enter", lambda *a: (_ for _ in ()).throw(OSError("stopped")))
+        with pytest.raises(OSError):
+            runs.add(spark.createDataFrame([(2, 2, 4)], KEYS), "b")
+    assert runs.add(spark.createDataFrame([(2, 2, 4)], KEYS), "b")
+    assert counted(runs) == {(1, 1): (1, 3), (2, 2): (1, 4)}
