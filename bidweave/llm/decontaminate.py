@@ -30,13 +30,14 @@ UNITS = (
     "dollars euros cents meters metres kilometers kilometres miles hours minutes seconds grams "
     "kilograms liters litres degrees"
 ).split()
-_NAMES = r"(?<=[\p{Ll}\p{N},;:)] )(\p{Lu}\p{L}+)"
-_UNITS = r"(?i)(\d) ?((?:" + "|".join(UNITS) + r")(?![\p{L}\p{N}]))"
-#: Scripts that are written without spaces.
-_DENSE = "".join(rf"\p{{Is{s}}}" for s in ("Han", "Hiragana", "Katakana", "Thai", "Lao", "Khmer", "Myanmar"))
-_TOKENS = (
-    rf"[{_DENSE}]|[{NAME}{UNIT}]?[\p{{L}}&&[^{_DENSE}]][[\p{{L}}\p{{M}}]&&[^{_DENSE}]]*|\d+(?:[.,:/]\d+)*"
+_NAMES = r"(?<=[\p{Ll}\p{N},;:)])[\s\p{Z}]+(?=\p{Lu}\p{L})"
+_UNITS = r"(?i)(?<=\d)[\s\p{Z}]*(?=(?:" + "|".join(UNITS) + r")(?![\p{L}\p{N}]))"
+#: Blocks of scripts that are written without spaces (Thai and Lao, Myanmar, Khmer, kana, Han).
+_DENSE = (
+    r"[\x{0E00}-\x{0EFF}\x{1000}-\x{109F}\x{1780}-\x{17FF}\x{3040}-\x{30FF}"
+    r"\x{3400}-\x{4DBF}\x{4E00}-\x{9FFF}\x{F900}-\x{FAFF}\x{20000}-\x{323AF}]"
 )
+_TOKENS = rf"[{NAME}{UNIT}]?\p{{L}}[\p{{L}}\p{{M}}]*|\d+(?:[.,:/]\d+)*"
 #: Items of fewer tokens say too little to be looked for inside of a text.
 LEAST_TOKENS = 4
 
@@ -46,10 +47,12 @@ RUN = ["doc_id", "text_id", ITEM, "shift"]
 
 def tokens(text: Column) -> Column:
     """Words and numbers in order; names and units carry a mark in front."""
-    flat = F.regexp_replace(F.coalesce(text, F.lit("")), r"[\s\p{Z}]+", " ")
+    text = F.coalesce(text, F.lit(""))
+    dense = (F.octet_length(text) > F.char_length(text)) & text.rlike(_DENSE)
+    spaced = F.when(dense, F.regexp_replace(text, f"({_DENSE})", " $1 ")).otherwise(text)
     # Units first: behind a number a capital letter does not make one a name.
-    marked = F.regexp_replace(flat, _UNITS, "$1 " + UNIT + "$2")
-    marked = F.regexp_replace(marked, _NAMES, NAME + "$1")
+    marked = F.regexp_replace(spaced, _UNITS, " " + UNIT)
+    marked = F.regexp_replace(marked, _NAMES, " " + NAME)
     return F.regexp_extract_all(marked, F.lit(_TOKENS), F.lit(0))
 
 
@@ -83,73 +86,141 @@ def _plain(token: Column) -> Column:
 
 
 TYPED, PLAIN, LITERAL = 0, 1, 2
-_WINDOW = "array<struct<kind:int,pos:int,window:bigint,slots:array<string>>>"
+_WINDOW = "array<struct<kind:int,pos:int,window:bigint,slots:array<string>,heads:array<bigint>>>"
 
 
-def _kind_windows(kind: int, width: int, codes: str, values: str, keep) -> Column:
-    """Windows of one kind at the places that ``keep`` accepts."""
-    places = F.sequence(F.lit(0), F.size(codes) - width)
-    if keep is not None:
-        places = F.filter(places, keep)
-    return F.transform(
-        places,
-        lambda i: F.struct(
+def _around(condition, width: int) -> Column:
+    """Places of the windows that hold a token for which ``condition`` is true."""
+    last = F.size("tokens") - width
+    at = F.filter(F.sequence(F.lit(0), F.size("tokens") - 1), lambda i: condition(F.get("tokens", i)))
+    spans = F.transform(at, lambda i: F.sequence(F.greatest(i - (width - 1), F.lit(0)), F.least(i, last)))
+    none = F.array().cast("array<int>")
+    return F.when(last >= 0, F.array_distinct(F.flatten(spans))).otherwise(none)
+
+
+def _heads(width: int) -> list[int]:
+    """Places in a window whose tokens a sieve looks at."""
+    return sorted({0, width // 2, width - 1})
+
+
+def _windows(kind: int, width: int, places: Column, codes: Column, values: Column, heads: bool) -> Column:
+    def window(i: Column) -> Column:
+        first = F.array(*[F.get(codes, i + h) for h in _heads(width)]) if heads else F.lit(None).cast("array<bigint>")
+        return F.struct(
             F.lit(kind).alias("kind"),
             i.alias("pos"),
             F.xxhash64(F.slice(codes, i + 1, width)).alias("window"),
             F.slice(values, i + 1, width).alias("slots"),
-        ),
-    ).cast(_WINDOW)
+            first.alias("heads"),
+        )
 
+    return F.transform(places, window)
 
-def template_windows(texts: DataFrame, keys: list[str], width: int, min_words: int) -> DataFrame:
-    """(keys, kind, pos, window, slots) of the windows of ``width`` tokens.
 
-    Typed windows hold at least ``min_words`` words beside the placeholders, and
-    so do plain ones, which stand where there are names. Places with more
-    numbers and units than that have a literal window. ``slots`` holds the placeholder values by their place in the window, and is
-    null for a text without any.
+#: Words of 64 bits in the sieve for each place, one for each value of a code's upper 11 bits.
+SIEVE_WORDS = 1 << 11
+
+
+def _word_and_bit(code: Column) -> tuple[Column, Column]:
+    """Where a token's code stands in the sieve: by its upper 11 and its lower 6 bits."""
+    return F.shiftrightunsigned(code, 53).cast("int"), code.bitwiseAND(F.lit(63)).cast("int")
+
+
+def sieve_of(wanted: DataFrame, width: int) -> list[list[int]]:
+    """For each of the places that a sieve looks at, the codes that windows have there, as bits.
+
+    Of one size whatever the benchmark is: ``SIEVE_WORDS`` numbers a place. A
+    large benchmark fills the sieve and it lets more through.
     """
-    split = texts.select(*keys, tokens(F.col("text")).alias("tokens")).where(F.size("tokens") >= width)
+    found = [[0] * SIEVE_WORDS for _ in _heads(width)]
+    codes = wanted.where(F.col("item_kind") != LITERAL).select(F.posexplode("heads").alias("place", "code"))
+    word, bit = _word_and_bit(F.col("code"))
+    bits = F.expr("bit_or(shiftleft(1L, bit))").alias("bits")
+    for row in codes.select("place", word.alias("word"), bit.alias("bit")).groupBy("place", "word").agg(bits).collect():
+        found[row.place][row.word] = row.bits
+    return found
+
+
+def _passing(sieve: list[list[int]], codes: str, width: int, places: Column) -> Column:
+    """Places of windows that the sieve lets through."""
+
+    def passes(i: Column) -> Column:
+        held = F.lit(True)
+        for head, words in zip(_heads(width), sieve, strict=True):
+            bits = F.expr("array(" + ", ".join(f"{w}L" if w > -(1 << 63) else "shiftleft(1L, 63)" for w in words) + ")")
+            word, bit = _word_and_bit(F.get(codes, i + head))
+            held = held & (F.getbit(F.get(bits, word), bit) == 1)
+        return held
+
+    return F.filter(places, passes)
+
+
+def template_windows(
+    texts: DataFrame,
+    keys: list[str],
+    width: int,
+    min_words: int,
+    literal: bool,
+    sieve: list[list[int]] | None = None,
+) -> DataFrame:
+    """(keys, kind, pos, window, slots, heads) of the windows of ``width`` tokens.
+
+    A typed window stands at every place, a plain one beside it where there are
+    names, and with ``literal`` a literal one where numbers and units leave
+    fewer than ``min_words`` other words. ``slots`` holds the placeholder values
+    by their place in the window, and is null for a text without any. With a
+    ``sieve`` only the typed and plain windows that it lets through are made,
+    without ``heads``, the codes that a sieve is made of.
+    """
+    split = texts.select(*keys, tokens(F.col("text")).alias("tokens"))
     slot = F.exists("tokens", _is_slot)
     name = F.exists("tokens", lambda t: t.startswith(NAME))
     of = lambda code: F.transform("tokens", code)
     typed = split.select(
         *keys,
+        "tokens",
         of(_template).alias("codes"),
-        F.when(name, of(_plain)).alias("plain"),
         F.when(slot, of(lambda t: F.when(_is_slot(t), t))).alias("values"),
+        F.when(name, of(_plain)).alias("plain"),
         F.when(name, of(lambda t: F.when(_is_slot(t) & ~t.startswith(NAME), t))).alias("plain_values"),
-        F.when(slot, of(_bare)).alias("literal"),
     )
-    most = width - min_words
-    filled = lambda values, i: F.size(F.filter(F.slice(values, i + 1, width), lambda v: v.isNotNull()))
-    dense = lambda i: filled(F.coalesce("plain_values", "values"), i) > most
-    some = F.size(F.filter("values", lambda v: v.isNotNull())) > most
-    named = lambda i: filled("values", i) > filled("plain_values", i)
+    none, heads = F.array().cast(_WINDOW), sieve is None
+    # A filter on the number of tokens would read the text once more.
+    wide = F.size("tokens") >= width
+    every = F.when(wide, F.sequence(F.lit(0), F.size("tokens") - width)).otherwise(F.array().cast("array<int>"))
+    named = _around(lambda t: t.startswith(NAME), width)
+    if sieve is not None:
+        every, named = _passing(sieve, "codes", width, every), _passing(sieve, "plain", width, named)
     parts = [
-        # The usual text has no window with many placeholders.
-        F.when(
-            some, _kind_windows(TYPED, width, "codes", "values", lambda i: filled("values", i) <= most)
-        ).otherwise(_kind_windows(TYPED, width, "codes", "values", None)),
+        _windows(TYPED, width, every, F.col("codes"), F.col("values"), heads),
         F.when(
-            F.col("plain").isNotNull(),
-            _kind_windows(PLAIN, width, "plain", "plain_values", lambda i: named(i) & ~dense(i)),
-        ),
-        F.when(some, _kind_windows(LITERAL, width, "literal", "nothing", dense)),
+            F.col("plain").isNotNull(), _windows(PLAIN, width, named, F.col("plain"), F.col("plain_values"), heads)
+        ).otherwise(none),
     ]
-    typed = typed.withColumn("nothing", F.lit(None).cast("array<string>"))
-    whole = F.concat(*[F.coalesce(p, F.array().cast(_WINDOW)) for p in parts])
-    return typed.select(*keys, F.inline(whole))
+    if literal:
+        most = width - min_words
+        number = lambda t: _is_slot(t) & ~t.startswith(NAME)
+        many = F.size(F.filter("tokens", number)) > most
+        dense = F.filter(
+            _around(number, width), lambda i: F.size(F.filter(F.slice("tokens", i + 1, width), number)) > most
+        )
+        nothing = F.lit(None).cast("array<string>")
+        parts.append(F.when(many, _windows(LITERAL, width, dense, of(_bare), nothing, heads)).otherwise(none))
+    return typed.select(*keys, F.inline(F.concat(*parts)))
 
 
 def benchmark_windows(benchmark: DataFrame, width: int, min_words: int) -> DataFrame:
     """Windows of the items of at least ``width`` tokens, with the number of places of each.
 
-    ``item_windows`` counts the places with a template, ``item_places`` all.
+    Typed and plain windows count if they hold at least ``min_words`` words
+    beside the placeholders. A window of a document that equals one of these
+    has as many. ``item_windows`` counts the places with a template,
+    ``item_places`` all.
     """
     items = benchmark.where(F.col(ITEM).isNotNull()).select(ITEM, "text").distinct()
-    windows = template_windows(items, [ITEM], width, min_words).withColumnRenamed("slots", "item_slots")
+    windows = template_windows(items, [ITEM], width, min_words, True).withColumnRenamed("slots", "item_slots")
+    filled = F.size(F.filter("item_slots", lambda v: v.isNotNull()))
+    windows = windows.where(F.coalesce(filled, F.lit(0)) <= width - min_words)
     totals = windows.groupBy(ITEM).agg(
         F.count_distinct(F.when(F.col("kind") != LITERAL, F.col("pos"))).alias("item_windows"),
         F.count_distinct("pos").alias("item_places"),
@@ -240,7 +311,9 @@ def leaks(
         "doc_id", F.xxhash64("text").alias("text_id"), "text"
     )
     # The benchmark is staged, so Spark knows its size and broadcasts it only if small.
-    met = template_windows(named, ["doc_id", "text_id"], width, min_words).join(wanted, "window")
+    literal = not wanted.where(F.col("item_kind") == LITERAL).isEmpty()
+    made = template_windows(named, ["doc_id", "text_id"], width, min_words, literal, sieve_of(wanted, width))
+    met = made.drop("heads").join(wanted.drop("heads"), "window")
     both = F.transform(
         F.arrays_zip(F.col("item_slots").alias("item"), F.col("slots").alias("doc")),
         lambda p, i: F.struct(
@@ -258,11 +331,12 @@ def leaks(
         "item_windows",
         "item_places",
         F.coalesce(pairs, F.array()).alias("pairs"),
-    ).distinct()
+    )
     met = staged(met, "windows-met")
-    places = _consistent(met).groupBy("doc_id", ITEM, "item_windows", "item_places")
-    templates = F.count_distinct(F.when(F.col("item_kind") != LITERAL, F.col("item_pos")))
-    found = places.agg(F.count_distinct("item_pos").alias("n_windows"), templates.alias("n_templates"))
+    item = ["doc_id", ITEM, "item_windows", "item_places"]
+    template = (F.col("item_kind") != LITERAL).cast("int")
+    places = _consistent(met).groupBy(*item, "item_pos").agg(F.max(template).alias("template"))
+    found = places.groupBy(*item).agg(F.count("*").alias("n_windows"), F.sum("template").alias("n_templates"))
     shares = [
         F.col("n_windows") / F.col("item_places"),
         F.when(F.col("item_windows") > 0, F.col("n_templates") / F.col("item_windows")),
