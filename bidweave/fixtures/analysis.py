@@ -13,7 +13,7 @@ from bidweave.fixtures.oracle import EVENTS_INPUTS, LINEITEM_INPUTS, VOLUMES, lo
 from bidweave.fixtures.queries import Query, bid_source, stored_log, term_source
 from bidweave.operators import rollups as R
 from bidweave.operators.distinct import ERROR, estimated, exact_distinct, merged, sketches
-from bidweave.operators.intervals import range_join
+from bidweave.operators.intervals import range_totals
 from bidweave.operators.normalize import normalize_bid_log, publish
 from bidweave.operators.reports import campaign_group_report, groups_with_null_key
 from bidweave.operators.slices import as_of_join, gap_sessions, running_total, trailing_total
@@ -69,9 +69,11 @@ def flights(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_range(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Log rows and spend of each booking."""
     log = lineitem_log(spark, sf_dir).select("epoch", "advertiser_id", "campaign_id", "price")
-    met = range_join(log, flights(spark, sf_dir), "epoch", "starts_at", "ends_at", ["advertiser_id"])
-    return met.groupBy("booking_id", "advertiser_id", "starts_at", "ends_at", "campaign_id").agg(
-        F.count("*").alias("log_rows"), F.sum("price").alias("price"), F.max("epoch").alias("last_at")
+    measures = {
+        "log_rows": (F.count("*"), F.sum), "price": (F.sum("price"), F.sum), "last_at": (F.max("epoch"), F.max)
+    }
+    return range_totals(
+        log, flights(spark, sf_dir), "epoch", "starts_at", "ends_at", ["advertiser_id"], ["campaign_id"], measures
     )
 
 

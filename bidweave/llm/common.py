@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bidweave.session import new_shared_path
+from bidweave.session import staged  # noqa: F401
 
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
@@ -14,15 +14,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def staged(df: DataFrame, label: str) -> DataFrame:
-    """``df`` written to the shared folder and read back: later reads survive lost executors."""
-    spark = df.sparkSession
-    path = new_shared_path(spark, label)
-    schema = df.schema
-    df.write.parquet(path)
-    return spark.read.schema(schema).parquet(path)
-
-
 def ascii_lower(text: Column) -> Column:
     """A-Z lower-cased, all other characters as they are.
 

@@ -8,7 +8,7 @@ import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 _local_dirs: dict[str, str] = {}
@@ -98,3 +98,11 @@ def scratch_path(spark: SparkSession, label: str) -> Iterator[str]:
         yield path
     finally:
         delete_path(spark, path)
+
+
+def staged(df: DataFrame, label: str) -> DataFrame:
+    """``df`` written to the shared folder and read back: later reads survive lost executors."""
+    spark, schema = df.sparkSession, df.schema
+    path = new_shared_path(spark, label)
+    df.write.parquet(path)
+    return spark.read.schema(schema).parquet(path)

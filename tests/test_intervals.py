@@ -6,7 +6,7 @@ from collections import Counter
 import pytest
 from pyspark.sql import functions as F
 
-from bidweave.operators.intervals import range_join
+from bidweave.operators.intervals import range_join, range_totals
 
 POINTS = "p int, k string, t bigint"
 INTERVALS = "i int, k string, s bigint, e bigint"
@@ -71,3 +71,39 @@ def test_each_interval_has_few_bins(spark):
     points = spark.createDataFrame([(1, 0), (2, 10**9)], "p int, t bigint")
     found = range_join(points, intervals, "t", "s", "e", width=10)
     assert found.count() == 20 * 10 + 20
+
+
+def measures():
+    return {"n": (F.count("*"), F.sum), "total": (F.sum("p"), F.sum), "last": (F.max("t"), F.max)}
+
+
+@pytest.mark.parametrize("width", [None, 1, 7, 10**7])
+def test_totals_equal_those_of_the_pairs(spark, width):
+    points, intervals = tables(3)
+    a = spark.createDataFrame(points + points[:3], POINTS).repartition(4).withColumn("g", F.when(F.col("p") % 5 > 0, F.col("p") % 5))
+    b = spark.createDataFrame(intervals + intervals[:3], INTERVALS)
+    pairs = range_join(a, b, "t", "s", "e", ["k"]).groupBy("i", "k", "s", "e", "g")
+    wanted = pairs.agg(*[first.alias(n) for n, (first, _) in measures().items()])
+    found = range_totals(a, b, "t", "s", "e", ["k"], ["g"], measures(), width)
+    assert found.columns == wanted.columns and dict(found.dtypes) == dict(wanted.dtypes)
+    assert Counter(found.collect()) == Counter(wanted.collect()) and wanted.count() > 100
+    empty = range_totals(a.limit(0), b, "t", "s", "e", ["k"], ["g"], measures(), width)
+    assert empty.count() == 0 == range_totals(a, b.limit(0), "t", "s", "e", ["k"], ["g"], measures(), width).count()
+
+
+def test_totals_cost_no_row_for_each_pair(spark):
+    points = spark.range(20_000).selectExpr("1 AS k", "id % 2 AS g", "CAST(id AS INT) AS p", "id * 3 AS t")
+    intervals = spark.range(200).selectExpr("id AS i", "1 AS k", "id * 7 AS s", "60000 - id * 11 AS e")
+    found = range_totals(points, intervals, "t", "s", "e", ["k"], ["g"], measures())
+    assert found.agg(F.sum("n")).first()[0] > 3_000_000
+    plan = found._jdf.queryExecution().executedPlan()
+    nodes, made = [plan.finalPhysicalPlan() if "Adaptive" in plan.nodeName() else plan], []
+    assert "Join" in plan.toString()
+    while nodes:
+        node = nodes.pop()
+        if "QueryStage" in node.nodeName():
+            node = node.plan()
+        if "Join" in node.nodeName():
+            made.append(node.metrics().apply("numOutputRows").value())
+        nodes += [node.children().apply(i) for i in range(node.children().size())]
+    assert len(made) >= 2 and sum(made) < 100_000
