@@ -17,7 +17,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from bidweave.llm.common import ascii_lower, smallest_hashes, staged
+from bidweave.llm.common import ascii_lower, staged
 
 FEATURES = [
     "n_url", "n_host", "n_path", "depth", "digits", "entropy", "parameters", "labels", "hyphens",
@@ -128,44 +128,42 @@ def _rates(hits: Column, n: Column, name: str, rate: float, weight: float) -> li
     return [smooth.alias(f"{name}_rate"), F.log1p(n.cast("double")).alias(f"{name}_rows")]
 
 
-def _counts(sample: DataFrame, keys: list[str]) -> DataFrame:
-    return sample.groupBy(*keys).agg(F.sum("label").alias("hits"), F.count("*").alias("n"))
+def _counts(urls: DataFrame, keys: list[str]) -> DataFrame:
+    return urls.groupBy(*keys).agg(F.sum("label").alias("hits"), F.count("*").alias("n"))
 
 
-def _statistics(sample: DataFrame, name: str, rate: float, weight: float) -> DataFrame:
-    counted = _counts(sample, [name])
+def _statistics(urls: DataFrame, name: str, rate: float, weight: float) -> DataFrame:
+    counted = _counts(urls, [name])
     return staged(counted.select(name, *_rates(F.col("hits"), F.col("n"), name, rate, weight)), f"url-{name}")
 
 
-def _out_of_fold(sample: DataFrame, name: str, rate: float, weight: float) -> DataFrame:
-    """The sample with the statistics of ``name`` over the urls of the other folds."""
-    own = _counts(sample, [name, "fold"]).withColumnsRenamed({"hits": "own_hits", "n": "own_n"})
-    joined = sample.join(_counts(sample, [name]), name).join(own, [name, "fold"])
+def _out_of_fold(urls: DataFrame, name: str, rate: float, weight: float) -> DataFrame:
+    """The urls with the statistics of ``name`` over the urls of the other folds."""
+    own = _counts(urls, [name, "fold"]).withColumnsRenamed({"hits": "own_hits", "n": "own_n"})
+    joined = urls.join(_counts(urls, [name]), name).join(own, [name, "fold"])
     hits, n = F.col("hits") - F.col("own_hits"), F.col("n") - F.col("own_n")
-    return joined.select(*sample.columns, *_rates(hits, n, name, rate, weight))
+    return joined.select(*urls.columns, *_rates(hits, n, name, rate, weight))
 
 
 def train(
-    labelled: DataFrame, most_rows: int = 20_000, rounds: int = 20, depth: int = 4, weight: float = 10.0
+    labelled: DataFrame, rounds: int = 20, depth: int = 4, weight: float = 10.0
 ) -> UrlModel:
     """Model of (url, label), label 1 for urls to block.
 
-    Learns from the ``most_rows`` distinct urls with the smallest hashes, a
-    bound that keeps training small on any corpus. Null urls and labels are left
+    Learns from all distinct urls with a label. Null urls and labels are left
     out. With labels of one class only, or none, there are no trees.
     """
     host, path = host_and_path(F.col("url"))
     rows = labelled.where(F.col("url").isNotNull() & F.col("label").isNotNull())
     rows = rows.select("url", F.col("label").cast("double").alias("label")).distinct()
-    picked = smallest_hashes(rows, ["url", "label"], most_rows)
     fold = F.pmod(F.xxhash64(F.lit(5), "url"), F.lit(FOLDS)).cast("int")
-    sample = staged(lexical(picked.withColumns({"host": host, "path": path, "fold": fold})), "url-sample")
-    seen = sample.agg(F.avg("label"), F.min("label"), F.max("label")).first()
+    urls = staged(lexical(rows.withColumns({"host": host, "path": path, "fold": fold})), "url-labelled")
+    seen = urls.agg(F.avg("label"), F.min("label"), F.max("label")).first()
     if seen[1] == seen[2]:
         return UrlModel(None, {}, seen[0] or 0.0, "block" if seen[0] else "allow")
-    tables = {n: _statistics(sample, n, seen[0], weight) for n in ("suffix", "domain")}
+    tables = {n: _statistics(urls, n, seen[0], weight) for n in ("suffix", "domain")}
     model = UrlModel(None, tables, seen[0])
-    known = sample
+    known = urls
     for name in tables:
         known = _out_of_fold(known, name, seen[0], weight)
     ready = staged(_vectors(known).select("features", "label"), "url-features")
