@@ -29,18 +29,24 @@ def read_lines(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
-def _texts(line: Column, kind: str, separator: str, names: list[str]) -> tuple[Column, Column]:
-    """The line's fields as a struct of texts, and what is wrong with the line as a whole."""
+def _cut(line: Column, kind: str, separator: str, names: list[str]) -> Column:
+    """The line's members as a struct of texts, or its cells as an array."""
     if kind == "json":
         schema = ", ".join(f"`{n}` string" for n in [*names, "__corrupt"])
-        options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "__corrupt"}
-        read = F.from_json(line, schema, options)
+        return F.from_json(line, schema, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "__corrupt"})
+    return F.split(line, f"\\Q{separator}\\E", -1)
+
+
+def _texts(line: Column, cut: Column, kind: str, names: list[str]) -> tuple[dict[str, Column], Column]:
+    """The line's fields as texts, and what is wrong with the line as a whole."""
+    if kind == "json":
         # Text behind the object, as after a torn write, is no part of it.
         whole = line.rlike(r"^\s*\{.*\}\s*$")
-        return read, F.when(read.isNull() | read["__corrupt"].isNotNull() | ~whole, F.lit(BROKEN))
-    cells = F.split(line, f"\\Q{separator}\\E", -1)
-    read = F.struct(*[F.when(F.get(cells, F.lit(i)) != "", F.get(cells, F.lit(i))).alias(n) for i, n in enumerate(names)])
-    return read, F.when(F.size(cells) != len(names), F.lit(FIELDS))
+        bad = cut.isNull() | cut["__corrupt"].isNotNull() | ~whole
+        return {n: cut.getField(n) for n in names}, F.when(bad, F.lit(BROKEN))
+    cells = [F.get(cut, F.lit(i)) for i in range(len(names))]
+    texts = {n: F.when(cell != "", cell) for n, cell in zip(names, cells, strict=True)}
+    return texts, F.when(F.size(cut) != len(names), F.lit(FIELDS))
 
 
 def parsed_lines(
@@ -63,18 +69,22 @@ def parsed_lines(
         raise ValueError(f"kind must be one of {FORMATS}, got {kind!r}")
     schema = schema or BID_LOG_SCHEMA
     fits = F.char_length("line") <= most_chars
-    read, broken = _texts(F.when(fits, F.col("line")), kind, separator, schema.fieldNames())
-    texts = lines.withColumns({"__texts": read, "__broken": F.when(~fits, F.lit(LONG)).otherwise(broken)})
-    typed, reasons = [], []
+    line = F.when(fits, F.col("line"))
+    # Explodes one value a line: what is generated is not copied into each expression that uses
+    # it, as a filter of the reason would do, so the line is cut once.
+    cut = F.explode(F.array(_cut(line, kind, separator, schema.fieldNames()))).alias("__cut")
+    texts, broken = _texts(line, F.col("__cut"), kind, schema.fieldNames())
+    typed, reasons = [], [F.when(~fits, F.lit(LONG)).otherwise(broken)]
     for field in schema.fields:
-        text = F.col("__texts").getField(field.name)
+        text = texts[field.name]
         value = text if isinstance(field.dataType, T.StringType) else text.try_cast(field.dataType)
         typed.append(value.alias(field.name))
         reasons.append(F.when(text.isNotNull() & value.isNull(), F.lit(f"bad {field.name}")))
         if field.name in required:
             reasons.append(F.when(text.isNull(), F.lit(f"no {field.name}")))
-    reason = F.coalesce("__broken", *reasons)
-    return texts.select("line", "file", F.struct(*typed).alias("row"), reason.alias("reason"))
+    return lines.select("line", "file", cut).select(
+        "line", "file", F.struct(*typed).alias("row"), F.coalesce(*reasons).alias("reason")
+    )
 
 
 def good_rows(parsed: DataFrame) -> DataFrame:

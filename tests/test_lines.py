@@ -94,3 +94,11 @@ def test_no_lines_and_unknown_formats(spark, tmp_path):
     assert good_rows(parsed).count() == 0 and rejected_lines(parsed).count() == 0
     with pytest.raises(ValueError):
         parsed_lines(read_lines(spark, str(tmp_path)), "xml")
+
+
+@pytest.mark.parametrize("kind, call", [("json", "from_json"), ("csv", "split(")])
+def test_a_line_is_cut_once(spark, tmp_path, kind, call):
+    path, _ = written(tmp_path, JSON)
+    parsed = parsed_lines(read_lines(spark, path), kind)
+    for found in (good_rows(parsed), rejected_lines(parsed)):
+        assert found._jdf.queryExecution().executedPlan().toString().count(call) == 1
