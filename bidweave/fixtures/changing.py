@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bidweave.fixtures.log import lineitem_log
-from bidweave.fixtures.queries import DAY, Query, stacked, stored_log, write_log
+from bidweave.fixtures.log import dealt_lineitem_log, lineitem_log
+from bidweave.fixtures.queries import DAY, Query, stacked, stored_log
 from bidweave.functions.columns import bucket_of, event_day, event_hour
 from bidweave.operators.normalize import publish
 from bidweave.plans.jobs import run_rollups
@@ -14,6 +14,7 @@ from bidweave.plans.kept import KeptBase, incremental_job
 from bidweave.plans.reconcile import diff_rollups
 from bidweave.schema import PARTITION_COLUMNS
 from bidweave.session import new_shared_path
+from bidweave.sinks.log import append_keyed
 from bidweave.sources.windows import Window
 from bidweave.streaming.rollups import stream_rollups
 
@@ -57,11 +58,11 @@ def q_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_stream_late(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A stream whose later files hold rows of hours that are published already."""
     log, target = new_shared_path(spark, "stream-log"), new_shared_path(spark, "late-out")
-    rows, epoch = lineitem_log(spark, sf_dir), F.col("epoch")
+    rows, epoch = dealt_lineitem_log(spark, sf_dir), F.col("epoch")
     part = F.pmod(F.xxhash64("epoch", "campaign_id", "auction_id"), F.lit(10))
-    write_log(rows.where(part > 1), log)
+    append_keyed(rows.where(part > 1), log)
     stream_rollups(spark, log, target, ["hour", "minute"], "30 minutes")
-    write_log(rows.where(part == 0), log)
+    append_keyed(rows.where(part == 0), log)
     # Stored a day and a half behind their time.
     stored = F.timestamp_millis(epoch + 36 * 3_600_000)
     moved = rows.where(part == 1).withColumns(
@@ -79,8 +80,8 @@ def q_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What two runs differ in, the second on a log without one advertiser's last hour."""
     left, right, changed = (new_shared_path(spark, n) for n in ("diff-left", "diff-right", "diff-log"))
     epoch = F.col("epoch")
-    log = lineitem_log(spark, sf_dir).where(event_day(epoch) == DAY)
-    write_log(log.where(~((event_hour(epoch) == 1) & (F.col("advertiser_id") == 0))), changed)
+    log = dealt_lineitem_log(spark, sf_dir).where(event_day(epoch) == DAY)
+    append_keyed(log.where(~((event_hour(epoch) == 1) & (F.col("advertiser_id") == 0))), changed)
     written = run_rollups(spark, stored_log(spark, sf_dir), left, Window.day(DAY), ["hour", "minute"])
     run_rollups(spark, changed, right, Window.day(DAY), ["hour", "minute"])
     found = diff_rollups(spark, left, right, list(written), new_shared_path(spark, "diff"))

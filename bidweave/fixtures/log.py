@@ -2,9 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from bidweave.schema import PARTITION_COLUMNS
+from bidweave.sinks.log import log_keys
+
 # Modulus of the event id that gives each payload counter its value.
 COUNTER_MODULUS = {
     "flight_campaign_spend_cap": 700,
@@ -84,8 +89,8 @@ def _term(i: int, spend: Column) -> Column:
     return F.create_map(*[part for k, v in entries.items() for part in (F.lit(k), v)])
 
 
-def derive_bid_log(inputs: DataFrame) -> DataFrame:
-    """Raw bid log rows, JSON payload included, from the inputs above."""
+def derive_bid_log(inputs: DataFrame, kept: Sequence[str] = ()) -> DataFrame:
+    """Raw bid log rows, JSON payload included, from the inputs above; ``kept`` are more of their columns."""
     event_id, user_id, kind = F.col("event_id"), F.col("user_id"), F.col("event_type")
     priced = kind.isin("purchase", "click")
     spend = F.col("value").cast("decimal(12,2)").cast("string")
@@ -116,6 +121,7 @@ def derive_bid_log(inputs: DataFrame) -> DataFrame:
         .when(kind != "signup", "")
         .alias("threshold_failure_reasons"),
         F.when(event_id % 13 == 0, "{bad").otherwise(payload).alias("pacing_debug_data"),
+        *kept,
     )
 
 
@@ -125,3 +131,16 @@ def events_log(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def lineitem_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     return derive_bid_log(lineitem_inputs(spark, sf_dir))
+
+
+def dealt_lineitem_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The log above with its partition columns, dealt out and ordered by them.
+
+    The inputs are dealt and ordered before the payload is made, which is many
+    times as long; written by partition, the rows are not sorted again.
+    """
+    keyed = lineitem_inputs(spark, sf_dir).withColumns(log_keys())
+    # A column that cannot be NULL keeps its order in a partitioned write; empty text is stored as NULL is.
+    keyed = keyed.withColumn("hh", F.coalesce("hh", F.lit("")))
+    dealt = keyed.hint("rebalance", *PARTITION_COLUMNS).sortWithinPartitions(*PARTITION_COLUMNS)
+    return derive_bid_log(dealt, PARTITION_COLUMNS)

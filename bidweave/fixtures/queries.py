@@ -14,7 +14,7 @@ from functools import partial
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bidweave.fixtures.log import events_log, lineitem_log
+from bidweave.fixtures.log import dealt_lineitem_log, events_log
 from bidweave.functions.columns import bucket_of, event_day, event_hour, flag
 from bidweave.operators import rollups as R
 from bidweave.operators.normalize import normalize_bid_log, parse_pacing, publish, time_buckets
@@ -34,7 +34,7 @@ from bidweave.schema import (
 )
 from bidweave.session import new_shared_path, scratch_path
 from bidweave.sinks.archive import archive_aged_partitions
-from bidweave.sinks.log import append_log
+from bidweave.sinks.log import append_keyed, append_log
 from bidweave.sinks.rollups import write_rollups
 from bidweave.sources.bid_log import missing_partitions, scan_bid_log
 from bidweave.sources.windows import Window
@@ -127,7 +127,7 @@ _stored: dict[tuple[str, str], str] = {}
 def stored_log(spark: SparkSession, sf_dir: str) -> str:
     key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _stored:
-        _stored[key] = write_log(lineitem_log(spark, sf_dir), new_shared_path(spark, "log"))
+        _stored[key] = append_keyed(dealt_lineitem_log(spark, sf_dir), new_shared_path(spark, "log"))
     return _stored[key]
 
 
@@ -209,10 +209,10 @@ def q_late(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows that arrive after their hour was run: hours later, the next day, in another
     bucket, or without a time."""
     epoch = F.col("epoch")
-    log = lineitem_log(spark, sf_dir).where(event_day(epoch) == DAY)
+    log = dealt_lineitem_log(spark, sf_dir).where(event_day(epoch) == DAY)
     path, target = new_shared_path(spark, "late-log"), new_shared_path(spark, "late-run")
     delay = F.pmod(F.xxhash64("epoch", "campaign_id", "auction_id"), F.lit(20))
-    write_log(log.where(delay >= 5), path)
+    append_keyed(log.where(delay >= 5), path)
     run_rollups(spark, path, target, Window.day(DAY))
     hours = F.when(delay == 0, 1).when(delay == 1, 5).when(delay == 2, 24).otherwise(0)
     stored = F.timestamp_millis(epoch + hours * 3_600_000)
@@ -235,17 +235,17 @@ def q_rerun(spark: SparkSession, sf_dir: str) -> DataFrame:
     target, path = new_shared_path(spark, "rerun"), new_shared_path(spark, "rerun-log")
     run_rollups(spark, stored_log(spark, sf_dir), target, Window.day(DAY))
     bucket = bucket_of(F.col("campaign_group_id"))
-    write_log(lineitem_log(spark, sf_dir).where((event_hour(F.col("epoch")) != 1) & (bucket != 98)), path)
+    append_keyed(dealt_lineitem_log(spark, sf_dir).where((event_hour(F.col("epoch")) != 1) & (bucket != 98)), path)
     return stacked(spark, run_rollups(spark, path, target, Window.day(DAY)))
 
 
 def q_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What is archived of a log whose later days are written after the age limit."""
-    log, old = lineitem_log(spark, sf_dir), event_day(F.col("epoch")) <= DAY
+    log, old = dealt_lineitem_log(spark, sf_dir), event_day(F.col("epoch")) <= DAY
     root, archive = new_shared_path(spark, "aged"), new_shared_path(spark, "archive")
-    write_log(log.where(old), root)
+    append_keyed(log.where(old), root)
     limit = datetime.now(timezone.utc)
-    write_log(log.where(~old), root)
+    append_keyed(log.where(~old), root)
     archive_aged_partitions(spark, root, archive, days=7, now=limit + timedelta(days=7))
     places = [
         scan_bid_log(spark, path).withColumn("place", F.lit(place))

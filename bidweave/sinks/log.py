@@ -2,23 +2,34 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from bidweave.functions.columns import bucket_of, event_day, event_hour
 from bidweave.schema import PARTITION_COLUMNS
 
+#: Rows with a long payload take many times their stored size in memory, so a task that reads
+#: the log gets few of them.
+ROW_GROUP_BYTES = 16 << 20
 
-def append_log(log: DataFrame, path: str) -> str:
-    """Appends raw log rows to the log at ``path``, in the partitions of their own hour and bucket."""
+
+def log_keys() -> dict[str, Column]:
+    """Partition columns of a row's own hour and bucket, from ``epoch`` and ``campaign_group_id``."""
     epoch = F.col("epoch")
-    keyed = log.withColumns(
-        {
-            "dt": event_day(epoch),
-            "hh": F.lpad(event_hour(epoch).cast("string"), 2, "0"),
-            "cgid_mod": bucket_of(F.col("campaign_group_id")),
-        }
-    )
-    balanced = keyed.hint("rebalance", *PARTITION_COLUMNS)
-    balanced.write.mode("append").partitionBy(*PARTITION_COLUMNS).parquet(path)
+    return {
+        "dt": event_day(epoch),
+        "hh": F.lpad(event_hour(epoch).cast("string"), 2, "0"),
+        "cgid_mod": bucket_of(F.col("campaign_group_id")),
+    }
+
+
+def append_keyed(keyed: DataFrame, path: str) -> str:
+    """Appends rows that have their partition columns and are dealt out by them."""
+    writer = keyed.write.mode("append").option("parquet.block.size", ROW_GROUP_BYTES)
+    writer.partitionBy(*PARTITION_COLUMNS).parquet(path)
     return path
+
+
+def append_log(log: DataFrame, path: str) -> str:
+    """Appends raw log rows to the log at ``path``, in the partitions of their own hour and bucket."""
+    return append_keyed(log.withColumns(log_keys()).hint("rebalance", *PARTITION_COLUMNS), path)

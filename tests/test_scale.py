@@ -8,7 +8,7 @@ from helpers import log_of, row
 from pyspark.sql import functions as F
 
 from bidweave.fixtures import queries as Q
-from bidweave.fixtures.log import lineitem_log
+from bidweave.fixtures.log import dealt_lineitem_log, lineitem_log
 from bidweave.operators import rollups as R
 from bidweave.operators.normalize import normalize_bid_log
 from bidweave.operators.reports import (
@@ -21,6 +21,7 @@ from bidweave.plans.late import moved_rows
 from bidweave.sources.bid_log import scan_bid_log
 from bidweave.session import shared_dir
 from bidweave.sinks.archive import aged_files
+from bidweave.sinks.log import append_keyed, append_log
 from bidweave.sinks.rollups import write_rollup
 from bidweave.sources.windows import Window
 
@@ -156,3 +157,14 @@ def test_a_cluster_must_name_its_shared_folder():
 
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
         shared_dir(Cluster)
+
+
+def test_the_stored_log_is_dealt_out_before_its_payload_is_made(spark, tmp_path):
+    log = dealt_lineitem_log(spark, SF_DIR)
+    plan = plan_of(log)
+    assert plan.count("Exchange") == 1 and "pacing_debug_data" not in plan[plan.index("Exchange") :]
+    assert "pacing_debug_data" in plan and log.schema["hh"].nullable is False
+    plain = lineitem_log(spark, SF_DIR)
+    found = scan_bid_log(spark, append_keyed(log, str(tmp_path / "dealt")))
+    wanted = scan_bid_log(spark, append_log(plain, str(tmp_path / "plain"))).select(*found.columns)
+    assert found.exceptAll(wanted).isEmpty() and found.count() == wanted.count() == plain.count()
