@@ -156,6 +156,8 @@ def train(
     host, path = host_and_path(F.col("url"))
     rows = labelled.where(F.col("url").isNotNull() & F.col("label").isNotNull())
     rows = rows.select("url", F.col("label").cast("double").alias("label")).distinct()
+    # In the order of hashes, so that sums in the trees do not follow how the rows came.
+    rows = rows.orderBy(F.xxhash64("url", "label"), "url", "label")
     fold = F.pmod(F.xxhash64(F.lit(5), "url"), F.lit(FOLDS)).cast("int")
     urls = staged(lexical(rows.withColumns({"host": host, "path": path, "fold": fold})), "url-labelled")
     seen = urls.agg(F.avg("label"), F.min("label"), F.max("label")).first()
