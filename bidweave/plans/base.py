@@ -32,6 +32,7 @@ from bidweave.operators.rollups import (
     volume_columns,
 )
 from bidweave.schema import PAYLOAD_COUNTERS, Grain, grain_of
+from bidweave.session import small_splits
 
 
 class Base(NamedTuple):
@@ -117,10 +118,12 @@ def stage_base(
 
     ``path`` is in the folder all executors share. The rollups read the table,
     so a lost executor costs them no second pass over the log, and each reads
-    only its own kind of record and its own columns.
+    only its own kind of record and its own columns. The log is read in small
+    splits: a task sorts all records of its split, which fit in memory then.
     """
     aggregated = aggregate_records(normalize_bid_log(raw), grain, numeric_max)
-    aggregated.write.partitionBy("is_bid").parquet(path)
+    with small_splits(spark):
+        aggregated.write.partitionBy("is_bid").parquet(path)
     names = [f for f in aggregated.schema.fields if f.name != "is_bid"]
     schema = T.StructType([*names, T.StructField("is_bid", T.BooleanType())])
     return split_records(spark.read.schema(schema).parquet(path), grain)

@@ -11,6 +11,10 @@ from contextlib import contextmanager
 from pyspark.sql import DataFrame, SparkSession
 
 
+SPLIT_SETTING = "spark.sql.files.maxPartitionBytes"
+#: Bytes of the log that one task reads where it sorts what it reads.
+SPLIT_BYTES = 16 << 20
+
 _local_dirs: dict[str, str] = {}
 _made: list[tuple[SparkSession, str]] = []
 
@@ -106,3 +110,17 @@ def staged(df: DataFrame, label: str) -> DataFrame:
     path = new_shared_path(spark, label)
     df.write.parquet(path)
     return spark.read.schema(schema).parquet(path)
+
+
+@contextmanager
+def small_splits(spark: SparkSession) -> Iterator[None]:
+    """Files are read in splits of ``SPLIT_BYTES`` at most by queries that begin inside the block."""
+    before = spark.conf.get(SPLIT_SETTING)
+    if spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(before) <= SPLIT_BYTES:
+        yield
+        return
+    spark.conf.set(SPLIT_SETTING, SPLIT_BYTES)
+    try:
+        yield
+    finally:
+        spark.conf.set(SPLIT_SETTING, before)

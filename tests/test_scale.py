@@ -16,10 +16,10 @@ from bidweave.operators.reports import (
     campaign_report,
     groups_with_null_key,
 )
-from bidweave.plans.base import aggregate_records
+from bidweave.plans.base import aggregate_records, stage_base
 from bidweave.plans.late import moved_rows
 from bidweave.sources.bid_log import scan_bid_log
-from bidweave.session import shared_dir
+from bidweave.session import SPLIT_BYTES, shared_dir, small_splits
 from bidweave.sinks.archive import aged_files
 from bidweave.sinks.log import append_keyed, append_log
 from bidweave.sinks.rollups import write_rollup
@@ -168,3 +168,19 @@ def test_the_stored_log_is_dealt_out_before_its_payload_is_made(spark, tmp_path)
     found = scan_bid_log(spark, append_keyed(log, str(tmp_path / "dealt")))
     wanted = scan_bid_log(spark, append_log(plain, str(tmp_path / "plain"))).select(*found.columns)
     assert found.exceptAll(wanted).isEmpty() and found.count() == wanted.count() == plain.count()
+
+
+def test_the_base_reads_the_log_in_small_splits(spark, tmp_path, monkeypatch):
+    name, seen = "spark.sql.files.maxPartitionBytes", []
+
+    class Watched(type(spark.range(1).write)):
+        def parquet(self, path, *args, **kwargs):
+            seen.append(int(spark.conf.get(name)))
+            super().parquet(path, *args, **kwargs)
+
+    monkeypatch.setattr(type(spark.range(1)), "write", property(lambda df: Watched(df)))
+    with settings(spark, spark__sql__files__maxPartitionBytes="1g"):
+        stage_base(spark, log_of(spark, row()), "minute", str(tmp_path / "base"))
+        assert seen == [SPLIT_BYTES] and spark.conf.get(name) == "1g"
+    with settings(spark, spark__sql__files__maxPartitionBytes="1m"), small_splits(spark):
+        assert spark.conf.get(name) == "1m"
