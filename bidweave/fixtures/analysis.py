@@ -16,11 +16,11 @@ from bidweave.operators.distinct import ERROR, estimated, exact_distinct, merged
 from bidweave.operators.intervals import range_totals
 from bidweave.operators.normalize import normalize_bid_log, publish
 from bidweave.operators.reports import campaign_group_report, groups_with_null_key
-from bidweave.operators.slices import as_of_join, gap_sessions, running_total, trailing_total
+from bidweave.operators.slices import as_of_join, gap_sessions, running_total, slice_width, trailing_total
 from bidweave.operators.totals import top_with_ties, totals_by_level
 from bidweave.plans.base import stage_base
 from bidweave.schema import CAMPAIGN_COUNTERS, CAMPAIGN_GROUP_COUNTERS, GRAINS, TERM_PAYLOAD_FIELDS
-from bidweave.session import new_shared_path
+from bidweave.session import new_shared_path, staged
 from bidweave.sources.bid_log import scan_bid_log
 from bidweave.sources.lines import good_rows, parsed_lines, read_lines, rejected_lines
 
@@ -101,9 +101,11 @@ def spend_cap(log: DataFrame) -> DataFrame:
 
 def q_velocity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Running spend of each campaign, its share of the last ten minutes, and whether it is over the cap."""
-    rows = spend_cap(lineitem_log(spark, sf_dir))
-    running = running_total(rows, ["campaign_id"], "epoch", "price", "running_spend")
-    moving = trailing_total(running, ["campaign_id"], "epoch", "price", "recent_spend", SPAN)
+    # The payload is parsed once, for the slices' width and both totals.
+    rows, keys = staged(spend_cap(lineitem_log(spark, sf_dir)), "priced"), ["campaign_id"]
+    width = slice_width(rows, keys, "epoch")
+    running = running_total(rows, keys, "epoch", "price", "running_spend", width)
+    moving = trailing_total(running, keys, "epoch", "price", "recent_spend", SPAN, width)
     return moving.withColumn("over_cap", F.col("running_spend") > F.col("spend_cap") * 1000)
 
 

@@ -14,6 +14,8 @@ from operator import and_
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from bidweave.session import staged
+
 SLICE = "__slice"
 #: Rows of the busiest key that a slice should hold.
 SLICE_ROWS = 200_000
@@ -127,7 +129,8 @@ def trailing_total(
     """
     width = width or slice_width(rows, keys, time)
     filled = rows.withColumn("__value", F.coalesce(F.col(value), F.lit(0).cast(rows.schema[value].dataType)))
-    totals = running_total(filled, keys, time, "__value", "__now", width)
+    # Read four times below.
+    totals = staged(running_total(filled, keys, time, "__value", "__now", width), "totals")
     past = totals.groupBy(*keys, time).agg(F.first("__now").alias("__before"))
     # A total counts for rows of later times than the span's end.
     shifted = past.withColumn(time, F.col(time) + F.lit(span + 1))
