@@ -24,7 +24,7 @@ from bidweave.plans.base import aggregate_records, merge_records, split_records
 from bidweave.plans.jobs import rollup_datasets
 from bidweave.plans.late import with_time
 from bidweave.schema import PARTITION_COLUMNS, PARTITION_FIELDS, grain_of
-from bidweave.session import delete_path, exists, hadoop_path
+from bidweave.session import delete_path, exists, hadoop_path, small_splits
 from bidweave.sinks.rollups import write_rollups
 from bidweave.sources.bid_log import read_bid_log
 
@@ -81,7 +81,9 @@ class KeptBase:
         counted = timed.observe(seen, F.count(F.lit(1)).alias("n"))
         partials = aggregate_records(normalize_bid_log(counted), self.grain, self.numeric_max)
         run = f"{batch}-{uuid.uuid4().hex}"
-        self._write(partials, run)
+        # A task sorts all records of its split.
+        with small_splits(self.spark):
+            self._write(partials, run)
         self._commit("manifest", MANIFEST, [(batch, run, 0, seen.get["n"], None)])
         return True
 
@@ -190,12 +192,13 @@ def incremental_job(
     stream = spark.readStream.schema(full).option("basePath", source)
     if max_files:
         stream = stream.option("maxFilesPerTrigger", max_files)
-    query = (
+    writer = (
         stream.parquet(source)
         .writeStream.foreachBatch(lambda rows, n: apply_files(base, rows, n))
         .option("checkpointLocation", f"{root}/files")
         .trigger(availableNow=True)
-        .start()
     )
-    query.awaitTermination()
+    # A stream takes the settings it starts with.
+    with small_splits(spark):
+        writer.start().awaitTermination()
     return base.publish(target, wanted)

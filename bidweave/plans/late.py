@@ -55,10 +55,12 @@ def own_key() -> dict[str, Column]:
 def moved_rows(log: DataFrame) -> DataFrame:
     """Distinct (own_dt, own_hh, own_mod, dt, hh, cgid_mod) of rows stored elsewhere."""
     keyed = with_time(log).withColumns(own_key()).select(*OWN, *PARTITION_COLUMNS)
-    same = F.lit(True)
-    for own, stored in zip(OWN, PARTITION_COLUMNS, strict=True):
-        same = same & F.col(own).eqNullSafe(F.col(stored))
-    return keyed.where(~same).distinct()
+    return keyed.where(elsewhere(PARTITION_COLUMNS)).distinct()
+
+
+def elsewhere(stored: list[str]) -> Column:
+    """Whether the key a row belongs to is another than the one it is ``stored`` by."""
+    return ~reduce(and_, [F.col(o).eqNullSafe(F.col(s)) for o, s in zip(OWN, stored, strict=True)])
 
 
 def matched(rows: DataFrame, keys: DataFrame, names: list[str], how: str, key_names: list[str]) -> DataFrame:

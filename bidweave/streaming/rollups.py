@@ -25,9 +25,9 @@ from bidweave.operators.normalize import normalize_bid_log, time_buckets
 from bidweave.operators.reports import bucket_from_group
 from bidweave.plans.base import aggregate_records, merge_records, split_records
 from bidweave.plans.jobs import finest, reroll, rollup_datasets
-from bidweave.plans.late import OWN, add_notes, matched, moved_rows, own_key, staged_keys, with_time
+from bidweave.plans.late import OWN, add_notes, elsewhere, matched, own_key, staged_keys, with_time
 from bidweave.schema import PARTITION_COLUMNS, Grain, grain_of
-from bidweave.session import delete_path, exists, scratch_path, subfolders
+from bidweave.session import delete_path, exists, scratch_path, small_splits, subfolders
 from bidweave.sinks.rollups import write_rollups
 from bidweave.sources.bid_log import read_bid_log
 
@@ -35,6 +35,8 @@ from bidweave.sources.bid_log import read_bid_log
 BATCHES = "batch bigint, watermark bigint, latest bigint, log_rows bigint, late_rows bigint"
 LATE = "own_dt date, own_hh int, own_mod int"
 HOURS = "dt date, hh int"
+#: Partition columns of the log under other names, next to those of a row's own time.
+STORED = [f"stored_{c}" for c in PARTITION_COLUMNS]
 HANDLED = "dt date, hh int, cgid_mod int, batch bigint"
 
 
@@ -96,19 +98,30 @@ class StreamedRollups:
             return
         g, passed = grain_of(self.grain), self.watermark(batch)
         timed = with_time(rows)
-        # Narrow: time and group are all that these columns need.
-        placed = time_buckets(timed).withColumns(own_key()).withColumn("start", start_of(g))
+        # Narrow: time and group are all that these columns need, and they are read once.
+        kept = {s: F.col(c) for s, c in zip(STORED, PARTITION_COLUMNS, strict=True)}
+        placed = time_buckets(timed.withColumns(kept)).withColumns(own_key()).withColumn("start", start_of(g))
         late = F.col("start") <= F.timestamp_micros(F.lit(passed))
-        totals = placed.agg(
-            F.unix_micros(F.max("start")).alias("latest"), F.count("*").alias("n"), F.count_if(late).alias("n_late")
-        ).first()
-        with scratch_path(self.spark, "moved") as path:
-            moved = staged_keys(moved_rows(rows), path)
+        places = placed.groupBy(*OWN, *STORED, late.alias("is_late")).agg(
+            F.max("start").alias("latest"), F.count("*").alias("n")
+        )
+        with scratch_path(self.spark, "routed") as path:
+            schema = places.schema
+            places.write.parquet(f"{path}/places")
+            places = self.spark.read.schema(schema).parquet(f"{path}/places")
+            n_late = F.coalesce(F.sum(F.when(F.col("is_late"), F.col("n"))), F.lit(0))
+            totals = places.agg(
+                F.unix_micros(F.max("latest")).alias("latest"),
+                F.coalesce(F.sum("n"), F.lit(0)).alias("n"),
+                n_late.alias("n_late"),
+            ).first()
+            names = [F.col(s).alias(c) for s, c in zip(STORED, PARTITION_COLUMNS, strict=True)]
+            moved = staged_keys(places.where(elsewhere(STORED)).select(*OWN, *names).distinct(), f"{path}/moved")
             if moved is not None:
                 add_notes(self.spark, self.target, moved)
-        if totals.n_late:
-            keys = placed.where(late).select(*OWN).distinct()
-            keys.write.mode("overwrite").parquet(f"{self.work}/late/batch={batch}")
+            if totals.n_late:
+                keys = places.where("is_late").select(*OWN).distinct()
+                keys.write.mode("overwrite").parquet(f"{self.work}/late/batch={batch}")
         fresh = normalize_bid_log(timed).where(start_of(g) > F.timestamp_micros(F.lit(passed)))
         opened = aggregate_records(fresh, g).withColumn("start", start_of(g))
         opened.write.mode("overwrite").parquet(f"{self.work}/open/batch={batch}")
@@ -120,7 +133,9 @@ class StreamedRollups:
         stream = self.spark.readStream.schema(full).option("basePath", self.source)
         if max_files:
             stream = stream.option("maxFilesPerTrigger", max_files)
-        self._run(stream.parquet(self.source).writeStream.foreachBatch(lambda r, n: self.route(r, n)), "route")
+        # A task sorts all records of its split; a stream takes the settings it starts with.
+        with small_splits(self.spark):
+            self._run(stream.parquet(self.source).writeStream.foreachBatch(lambda r, n: self.route(r, n)), "route")
 
     # Second query: open minutes in the state store
 

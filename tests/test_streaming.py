@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 
 from bidweave.fixtures.queries import read_dataset, write_log
 from bidweave.plans.jobs import run_rollups
-from bidweave.session import shared_dir
+from bidweave.plans.kept import KeptBase, incremental_job
+from bidweave.session import SPLIT_BYTES, shared_dir
 from bidweave.sources.bid_log import read_bid_log
 from bidweave.sources.windows import Window
 from bidweave.streaming.rollups import StreamedRollups, stream_rollups
@@ -142,3 +143,36 @@ def test_staged_tables_of_a_stream_are_removed(spark, tmp_path):
     stream_rollups(spark, log, target)
     assert set(os.listdir(folder)) == before
     assert not [n for n in os.listdir(f"{target}/_stream/open") if n.startswith("batch=")]
+
+
+def test_a_batch_is_read_twice(spark, tmp_path):
+    log, target = str(tmp_path / "log"), str(tmp_path / "o")
+    write_log(log_of(spark, *at("05:10", "05:20", "09:10")), log)
+    stream, read = StreamedRollups(spark, log, target, "minute", "10 minutes"), spark.sparkContext.accumulator(0)
+
+    def seen(epoch):
+        read.add(1)
+        return epoch
+
+    rows = read_bid_log(spark, log)
+    stream.route(rows.withColumn("epoch", F.udf(seen, "bigint").asNondeterministic()("epoch")), 0)
+    # Once for its times and places, once for its partial aggregates.
+    assert read.value == 6
+
+
+@pytest.mark.parametrize("job", ["stream", "incremental"])
+def test_a_stream_reads_the_log_in_small_splits(spark, tmp_path, monkeypatch, job):
+    name, log, seen = "spark.sql.files.maxPartitionBytes", str(tmp_path / "log"), []
+    write_log(log_of(spark, *at("05:10", "09:10")), log)
+    cls, method = (StreamedRollups, "route") if job == "stream" else (KeptBase, "apply")
+    plain = getattr(cls, method)
+
+    def watched(self, rows, batch):
+        seen.append(int(rows.sparkSession.conf.get(name)))
+        return plain(self, rows, batch)
+
+    monkeypatch.setattr(cls, method, watched)
+    before = spark.conf.get(name)
+    run = stream_rollups if job == "stream" else incremental_job
+    run(spark, log, str(tmp_path / "o"), "minute")
+    assert seen == [SPLIT_BYTES] and spark.conf.get(name) == before
