@@ -44,6 +44,15 @@ def flag(value: Column) -> Column:
     return value.try_cast("boolean")
 
 
+def text_flag(value: Column) -> Column:
+    """``flag`` of a text; one that is plainly no boolean costs no error that is raised and caught."""
+    lower = F.lower(value)
+    plain = F.when(value.rlike("^[!-~]*$"), F.lit(None).cast("boolean")).otherwise(flag(value))
+    return F.when(lower.isin("true", "t", "yes", "y", "1"), True).when(
+        lower.isin("false", "f", "no", "n", "0"), False
+    ).otherwise(plain)
+
+
 def max_text(value: Column, numeric: bool = False) -> Column:
     """Largest text of a group.
 

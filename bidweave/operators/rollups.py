@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from bidweave.functions.columns import bucket_of, flag, max_text
+from bidweave.functions.columns import bucket_of, max_text, text_flag
 from bidweave.schema import CAMPAIGN_COUNTERS, CAMPAIGN_GROUP_COUNTERS, Grain, grain_of
 
 REASONS = "threshold_failure_reasons"
@@ -90,8 +90,8 @@ def term_rows(terms: DataFrame) -> DataFrame:
     return terms.select(
         *[c for c in terms.columns if c not in used],
         *volume_columns(),
-        one_if(flag(F.col("spend_capped"))).alias("total_spend_capped"),
-        one_if(flag(F.col("rate_limited"))).alias("total_rate_limited"),
+        one_if(text_flag(F.col("spend_capped"))).alias("total_spend_capped"),
+        one_if(text_flag(F.col("rate_limited"))).alias("total_rate_limited"),
     )
 
 

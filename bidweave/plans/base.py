@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from bidweave.functions.columns import flag, max_text
+from bidweave.functions.columns import max_text, text_flag
 from bidweave.operators.normalize import normalize_bid_log
 from bidweave.operators.rollups import (
     BID_KEYS,
@@ -70,8 +70,8 @@ def records(log: DataFrame) -> DataFrame:
         *volume_columns(),
         F.when(is_bid, F.col("price")).alias("price"),
         *[F.when(is_bid, F.col(c)).alias(c) for c in PAYLOAD_COUNTERS],
-        one_if(flag(F.col("spend_capped"))).alias("total_spend_capped"),
-        one_if(flag(F.col("rate_limited"))).alias("total_rate_limited"),
+        one_if(text_flag(F.col("spend_capped"))).alias("total_spend_capped"),
+        one_if(text_flag(F.col("rate_limited"))).alias("total_rate_limited"),
         *TERM_TEXTS,
     )
 

@@ -8,7 +8,9 @@ from helpers import log_of, row
 from pyspark.sql import functions as F
 
 from bidweave.fixtures import queries as Q
+from bidweave.fixtures.analysis import q_velocity
 from bidweave.fixtures.log import dealt_lineitem_log, lineitem_log
+from bidweave.functions.columns import flag, text_flag
 from bidweave.operators import rollups as R
 from bidweave.operators.normalize import normalize_bid_log
 from bidweave.operators.reports import (
@@ -184,3 +186,15 @@ def test_the_base_reads_the_log_in_small_splits(spark, tmp_path, monkeypatch):
         assert seen == [SPLIT_BYTES] and spark.conf.get(name) == "1g"
     with settings(spark, spark__sql__files__maxPartitionBytes="1m"), small_splits(spark):
         assert spark.conf.get(name) == "1m"
+
+
+def test_a_text_flag_reads_as_the_cast_does(spark):
+    texts = [None, "", "true", "TRUE", " t ", "Yes", "y", "1", "false", "F", "no\t", "N", "0", "maybe", "01", " true", "truе", "\x7ft"]
+    rows = spark.createDataFrame([(t,) for t in texts], "t string")
+    found = rows.select("t", text_flag(F.col("t")).alias("a"), flag(F.col("t")).alias("b")).collect()
+    assert [r.a for r in found] == [r.b for r in found] and {r.a for r in found} == {None, True, False}
+
+
+def test_spend_velocity_parses_the_payload_once(spark):
+    plan = plan_of(q_velocity(spark, SF_DIR))
+    assert "from_json" not in plan and "lineitem" not in plan
