@@ -129,7 +129,7 @@ def trailing_total(
     """
     width = width or slice_width(rows, keys, time)
     filled = rows.withColumn("__value", F.coalesce(F.col(value), F.lit(0).cast(rows.schema[value].dataType)))
-    # Read four times below.
+    # Read several times below.
     totals = staged(running_total(filled, keys, time, "__value", "__now", width), "totals")
     past = totals.groupBy(*keys, time).agg(F.first("__now").alias("__before"))
     # A total counts for rows of later times than the span's end.
