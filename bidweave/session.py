@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 SPLIT_SETTING = "spark.sql.files.maxPartitionBytes"
 #: Bytes of the log that one task reads where it sorts what it reads.
-SPLIT_BYTES = 16 << 20
+SPLIT_BYTES = 8 << 20
 
 _local_dirs: dict[str, str] = {}
 _made: list[tuple[SparkSession, str]] = []

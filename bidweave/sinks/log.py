@@ -10,7 +10,9 @@ from bidweave.schema import PARTITION_COLUMNS
 
 #: Rows with a long payload take many times their stored size in memory, so a task that reads
 #: the log gets few of them.
-ROW_GROUP_BYTES = 16 << 20
+ROW_GROUP_BYTES = 8 << 20
+#: Payloads repeat their names in every row and are most of the log.
+CODEC = "zstd"
 
 
 def log_keys() -> dict[str, Column]:
@@ -25,7 +27,8 @@ def log_keys() -> dict[str, Column]:
 
 def append_keyed(keyed: DataFrame, path: str) -> str:
     """Appends rows that have their partition columns and are dealt out by them."""
-    writer = keyed.write.mode("append").option("parquet.block.size", ROW_GROUP_BYTES)
+    options = {"parquet.block.size": ROW_GROUP_BYTES, "compression": CODEC}
+    writer = keyed.write.mode("append").options(**options)
     writer.partitionBy(*PARTITION_COLUMNS).parquet(path)
     return path
 

@@ -2,7 +2,9 @@
 
 from contextlib import contextmanager
 from datetime import datetime, timedelta, timezone
+from pathlib import Path
 
+import pyarrow.parquet as pq
 import pytest
 from helpers import log_of, row
 from pyspark.sql import functions as F
@@ -20,6 +22,7 @@ from bidweave.operators.reports import (
 )
 from bidweave.plans.base import aggregate_records, stage_base
 from bidweave.plans.late import moved_rows
+from bidweave.schema import PAYLOAD_COUNTERS
 from bidweave.sources.bid_log import scan_bid_log
 from bidweave.session import SPLIT_BYTES, shared_dir, small_splits
 from bidweave.sinks.archive import aged_files
@@ -172,6 +175,31 @@ def test_the_stored_log_is_dealt_out_before_its_payload_is_made(spark, tmp_path)
     assert found.exceptAll(wanted).isEmpty() and found.count() == wanted.count() == plain.count()
 
 
+def test_the_log_is_stored_small_with_few_rows_a_task(spark, tmp_path):
+    payload = {c: f"{n}.25" for n, c in enumerate(PAYLOAD_COUNTERS)}
+    made = F.to_json(F.struct(*[F.concat(F.xxhash64("id", F.lit(c)).cast("string"), F.lit(v)).alias(c) for c, v in payload.items()]))
+    rows = spark.range(0, 60_000, 1, 1).crossJoin(log_of(spark, row()).drop("pacing_debug_data"))
+    log = rows.select(*[c for c in rows.columns if c != "id"], made.alias("pacing_debug_data"))
+    path = append_log(log, str(tmp_path / "log"))
+    log.coalesce(1).write.option("compression", "snappy").parquet(str(tmp_path / "plain"))
+    groups = [g for file in Path(path).rglob("*.parquet") for g in row_groups(file)]
+    plain = [g for file in (tmp_path / "plain").glob("*.parquet") for g in row_groups(file)]
+    assert {g.column(0).compression for g in groups} == {"ZSTD"}
+    assert sum(map(stored_bytes, groups)) < 0.8 * sum(map(stored_bytes, plain))
+    assert len(groups) > 1 and max(map(stored_bytes, groups)) <= 1.1 * SPLIT_BYTES
+    found = scan_bid_log(spark, path).select(*log.columns)
+    assert found.exceptAll(log).isEmpty() and found.count() == 60_000
+
+
+def row_groups(file):
+    metadata = pq.ParquetFile(file).metadata
+    return [metadata.row_group(n) for n in range(metadata.num_row_groups)]
+
+
+def stored_bytes(group):
+    return sum(group.column(n).total_compressed_size for n in range(group.num_columns))
+
+
 def test_the_base_reads_the_log_in_small_splits(spark, tmp_path, monkeypatch):
     name, seen = "spark.sql.files.maxPartitionBytes", []
 
